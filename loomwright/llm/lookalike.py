@@ -105,6 +105,15 @@ def _plain(c: str) -> str:
     return "".join(_plain(x) if x != c else x for x in full)
 
 
+class _Plain(dict):
+    def __missing__(self, code: int) -> str:
+        self[code] = _plain(chr(code))
+        return self[code]
+
+
+_PLAIN = _Plain()
+
+
 def _script(c: str) -> str:
     return ud.name(c, "").split(" ")[0]
 
@@ -123,7 +132,7 @@ def _spelt(token: str) -> str:
     return "".join(_CLASS[c].get(target, c) if c in _CLASS else c for c in token)
 
 
-_ALPHABETIC = "0-9A-Za-zÀ-ɏͰ-ϿЀ-ԯḀ-῿"
+_ALPHABETIC = "0-9A-Za-zÀ-ɏ\u0300-\u036fͰ-ϿЀ-ԯḀ-῿"
 _TOKEN = re.compile(f"[{_ALPHABETIC}]*[{''.join(c for c in _CLASS if ord(c) > 127)}][{_ALPHABETIC}]*")
 _LINE_EDGE = re.compile(" *\n *")
 _BLANKS = re.compile("  +")
@@ -135,8 +144,9 @@ def same_look(text: str | None) -> str | None:
         return None
     text = text.replace("\r\n", "\n")
     if not text.isascii() or not text.isprintable():
-        text = ud.normalize("NFC", "".join(map(_plain, ud.normalize("NFC", text))))
-        text = _TOKEN.sub(lambda m: _spelt(m[0]), text)
+        # letters are compared without their accents, so that an accented twin is a twin too
+        text = ud.normalize("NFD", text).translate(_PLAIN)
+        text = ud.normalize("NFC", _TOKEN.sub(lambda m: _spelt(m[0]), text))
     return _LINE_EDGE.sub("\n", _BLANKS.sub(" ", text)).strip()
 
 
@@ -146,11 +156,17 @@ _SIZE = 0x30000
 _tables: dict[str, np.ndarray] = {}
 
 
+def _hidden_twin(c: str) -> bool:
+    """A letter outside Latin, accented or not, that has a twin."""
+    base = ud.normalize("NFD", c)[0]
+    return ord(base) > 127 and base in _CLASS
+
+
 def _table(mode: str) -> np.ndarray:
     """code point -> code point of the form; 0 drops it; SLOW asks for :func:`same_look`.
 
-    Modes: ``runs`` = lower case without blanks and line ends, ``alnum`` = of
-    these only letters and digits.
+    Modes: ``look`` = the consistent form itself, ``runs`` = lower case without
+    blanks and line ends, ``alnum`` = of these only letters and digits.
     """
     if mode not in _tables:
         t = np.arange(_SIZE, dtype=np.uint32)
@@ -161,11 +177,11 @@ def _table(mode: str) -> np.ndarray:
                 c = chr(o)
                 p = _plain(c)
                 if not p or p.isspace():
-                    t[o] = 0
-                elif len(p) > 1 or ud.combining(c) or (o > 127 and p in _CLASS and o < 0xFF00) or 0x1100 <= o < 0x1200:
+                    t[o] = ord(p) if p and mode == "look" else 0
+                elif len(p) > 1 or ud.combining(c) or (o < 0xFF00 and _hidden_twin(c)) or 0x1100 <= o < 0x1200:
                     t[o] = SLOW
                 else:
-                    low = p.lower()
+                    low = p if mode == "look" else p.lower()
                     low = low if len(low) == 1 else p
                     t[o] = 0 if mode == "alnum" and not low.isalnum() else ord(low)
         _tables[mode] = t
@@ -180,6 +196,39 @@ def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds
 
 
+def _single_blanks(out: np.ndarray, kept: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of the kept signs: one blank of each run, none at line ends, nothing before the first or after the last visible sign."""
+    where = np.flatnonzero(kept)
+    if not len(where):
+        return kept
+    owner = np.searchsorted(bounds, where, side="right")
+    blank, end = out[where] == 32, out[where] == 10
+    visible = ~(blank | end)
+    at = np.arange(len(where))
+    before = np.maximum.accumulate(np.where(blank, -1, at))  # last sign that is no blank
+    after = np.minimum.accumulate(np.where(blank, len(where), at)[::-1])[::-1]
+    inner = (before >= 0) & (after < len(where))
+    b, a = np.maximum(before, 0), np.minimum(after, len(where) - 1)
+    inner &= visible[b] & visible[a] & (owner[b] == owner) & (owner[a] == owner)
+    first = np.ones(len(where), dtype=bool)
+    first[1:] = before[1:] == at[1:] - 1
+    seen = np.maximum.accumulate(np.where(visible, at, -1))
+    to_come = np.minimum.accumulate(np.where(visible, at, len(where))[::-1])[::-1]
+    s, t = np.maximum(seen, 0), np.minimum(to_come, len(where) - 1)
+    between = (seen >= 0) & (to_come < len(where)) & (owner[s] == owner) & (owner[t] == owner)
+    good = np.where(blank, inner & first, np.where(end, between, True))
+    result = np.zeros_like(kept)
+    result[where[good]] = True
+    return result
+
+
+def same_looks(texts: list[str | None]) -> list[str | None]:
+    """:func:`same_look` of many texts at once."""
+    x, bounds = fold(texts, "look")
+    whole = x.tobytes().decode("utf-32-le", "surrogatepass")
+    return [None if t is None else whole[a:b] for t, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
 def fold(texts: list[str | None], mode: str = "runs") -> tuple[np.ndarray, np.ndarray]:
     """Folded code points of all texts end to end, and the bounds of each text.
 
@@ -205,6 +254,9 @@ def fold(texts: list[str | None], mode: str = "runs") -> tuple[np.ndarray, np.nd
                 keep = np.array([chr(x).isalnum() for x in distinct])
                 out[odd] = np.where(keep[where], out[odd], 0)
     kept = out != 0
+    if mode == "look":
+        kept[:-1] &= ~((raw[:-1] == 13) & (raw[1:] == 10))
+        kept = _single_blanks(out, kept, bounds)
     ends = np.zeros(len(raw) + 1, dtype=np.int64)
     np.cumsum(kept, out=ends[1:])
     return out[kept], ends[bounds]

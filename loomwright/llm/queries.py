@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import connected_components
 from . import near_duplicates as nd
-from .frames import read
+from .forms import consistent_forms, same_look_records
+from .frames import nonblank, read
+from .splitting import SplitConfig, split_texts
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -17,6 +19,12 @@ def query(f):
     return f
 
 
+def records(spark, sf_dir: str) -> DataFrame:
+    """The technical documents, one row per record: the last extracted, ties by file."""
+    df = read(spark, sf_dir, "d4_documents")
+    return df.groupBy("document_id").agg(*[F.max_by(c, F.struct("extracted_at", "source_file")).alias(c) for c in df.columns if c != "document_id"])
+
+
 @query
 def p5_found(spark, sf_dir: str) -> DataFrame:
     return nd.record_pairs(*nd.near_duplicates(read(spark, sf_dir, "d4_documents")))
@@ -35,3 +43,29 @@ def p5_groups(spark, sf_dir: str) -> DataFrame:
         .select(F.col("id").alias("document_id"), F.coalesce("component", "k1").alias("group_id"), (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("links"))
     )
     return rows.where("links > 0")
+
+
+@query
+def p2_pieces(spark, sf_dir: str) -> DataFrame:
+    return split_texts(records(spark, sf_dir)).withColumnRenamed("id", "document_id")
+
+
+@query
+def p2_found(spark, sf_dir: str) -> DataFrame:
+    """Records that had to be cut, read off their first piece."""
+    limit = SplitConfig().limit
+    rows = split_texts(read(spark, sf_dir, "d4_documents").where(nonblank())).where(f"piece_no > 0 or n_chars > {limit}")
+    kind = F.when(F.max("forced"), "forced").otherwise("natural").alias("kind")
+    return rows.groupBy(F.col("id").alias("document_id")).agg(kind)
+
+
+@query
+def p4_forms(spark, sf_dir: str) -> DataFrame:
+    """Every row with text, title and literals in their consistent form."""
+    df = read(spark, sf_dir, "d4_documents").select("document_id", "title", "text", "literals", "split", "source_file")
+    return consistent_forms(df, ["title", "text"], ["literals"])
+
+
+@query
+def p4_found(spark, sf_dir: str) -> DataFrame:
+    return same_look_records(read(spark, sf_dir, "d4_documents"))
