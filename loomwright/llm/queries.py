@@ -8,6 +8,8 @@ from ..operators.components import connected_components
 from . import near_duplicates as nd
 from .forms import consistent_forms, same_look_records
 from .frames import nonblank, read
+from .leakage import leaks
+from .quality import quality
 from .splitting import SplitConfig, split_texts
 
 QUERIES: dict = {}
@@ -69,3 +71,26 @@ def p4_forms(spark, sf_dir: str) -> DataFrame:
 @query
 def p4_found(spark, sf_dir: str) -> DataFrame:
     return same_look_records(read(spark, sf_dir, "d4_documents"))
+
+
+@query
+def p6_quality(spark, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "d4_documents")).withColumnRenamed("id", "document_id")
+
+
+@query
+def p6_found(spark, sf_dir: str) -> DataFrame:
+    rows = quality(read(spark, sf_dir, "d4_documents").where(nonblank()))
+    return rows.groupBy(F.col("id").alias("document_id")).agg(F.min("kind").alias("kind")).where("kind <> 'prose'")
+
+
+@query
+def p8_leaks(spark, sf_dir: str) -> DataFrame:
+    """Leaked test items with the length of their longest unbroken passage."""
+    rows = leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return rows.withColumnRenamed("doc", "doc_id").withColumnRenamed("item", "item_id")
+
+
+@query
+def p8_found(spark, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
