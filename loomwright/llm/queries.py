@@ -10,6 +10,7 @@ from .forms import consistent_forms, same_look_records
 from .frames import nonblank, read
 from .leakage import leaks
 from .quality import quality
+from .shared_spans import shared_spans
 from .splitting import SplitConfig, split_texts
 
 QUERIES: dict = {}
@@ -94,3 +95,14 @@ def p8_leaks(spark, sf_dir: str) -> DataFrame:
 @query
 def p8_found(spark, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+@query
+def p9_shared(spark, sf_dir: str) -> DataFrame:
+    """For each doc how much of its text also stands elsewhere."""
+    return shared_spans(read(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
+
+
+@query
+def p9_found(spark, sf_dir: str) -> DataFrame:
+    return p9_shared(spark, sf_dir).where("shared > 0").select("doc_id")
