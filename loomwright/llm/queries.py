@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.components import connected_components
-from . import near_duplicates as nd
+from . import cross_split as cs, near_duplicates as nd
 from .forms import consistent_forms, same_look_records
-from .frames import nonblank, read
+from .frames import collection, nonblank, read
 from .leakage import leaks
 from .quality import quality
 from .shared_spans import shared_spans
@@ -106,3 +106,16 @@ def p9_shared(spark, sf_dir: str) -> DataFrame:
 @query
 def p9_found(spark, sf_dir: str) -> DataFrame:
     return p9_shared(spark, sf_dir).where("shared > 0").select("doc_id")
+
+
+@query
+def p1_found(spark, sf_dir: str) -> DataFrame:
+    rows = cs.overlapping_pairs(*cs.cross_split(read(spark, sf_dir, "d4_documents")))
+    return rows.select("split", "document_id_a", "document_id_b")
+
+
+@query
+def p1_report(spark, sf_dir: str) -> DataFrame:
+    """Evaluation records found in training texts, by split and source collection."""
+    df = read(spark, sf_dir, "d4_documents")
+    return cs.overlap_report(df, *cs.cross_split(df), collection())
