@@ -9,9 +9,11 @@ from . import cross_split as cs, near_duplicates as nd
 from .forms import consistent_forms, same_look_records
 from .frames import collection, nonblank, read
 from .leakage import leaks
+from .packing import fill_report, pack
 from .quality import quality
 from .shared_spans import shared_spans
 from .splitting import SplitConfig, split_texts
+from .tokens import language_tag, token_budget
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -119,3 +121,23 @@ def p1_report(spark, sf_dir: str) -> DataFrame:
     """Evaluation records found in training texts, by split and source collection."""
     df = read(spark, sf_dir, "d4_documents")
     return cs.overlap_report(df, *cs.cross_split(df), collection())
+
+
+@query
+def p7_windows(spark, sf_dir: str) -> DataFrame:
+    """Every text of documents in windows of each capacity."""
+    rows = pack(read(spark, sf_dir, "documents"), read(spark, sf_dir, "packing_targets"))
+    return rows.withColumnRenamed("id", "doc_id").withColumnRenamed("bin", "window_id")
+
+
+@query
+def p7_fill(spark, sf_dir: str) -> DataFrame:
+    targets = read(spark, sf_dir, "packing_targets")
+    return fill_report(pack(read(spark, sf_dir, "documents"), targets), targets)
+
+
+@query
+def p3_budget(spark, sf_dir: str) -> DataFrame:
+    """Documents, characters and tokens per source collection, language and system."""
+    slices = {"source": collection(), "language": language_tag(F.col("language")), "system": F.col("system")}
+    return token_budget(read(spark, sf_dir, "d4_documents"), "document_id", "text", "extracted_at", slices)
