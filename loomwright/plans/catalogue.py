@@ -1,6 +1,454 @@
-"""Named queries of the core and the SQL they are checked against."""
+"""Named queries over the test tables, and the SQL they are checked against where SQL can say it."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import arrays as A, rules as R, text as X, vocabulary as V
+from ..operators import chunking, dedup, generation, names, relations, retrieval
+from ..sources import files
+
 QUERIES: dict = {}
-SQL: dict = {}
+SQL: dict[str, str] = {}
+
+# what the JVM's Unicode white space is, as a class for the SQL engine
+BLANK = r"[\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def query(sql: str | None = None):
+    def take(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return take
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sql_inline(c: str) -> str:
+    return f"trim(regexp_replace(coalesce({c}, ''), '{BLANK}+', ' ', 'g'))"
+
+
+def sql_document(c: str) -> str:
+    strip = lambda x: f"regexp_replace(regexp_replace({x}, '^{BLANK}+', ''), '{BLANK}+$', '')"
+    line = strip("regexp_replace(l, '[ \\t]+', ' ', 'g')")
+    lines = f"list_transform(string_split(regexp_replace(coalesce({c}, ''), '\\r\\n?', chr(10), 'g'), chr(10)), lambda l: {line})"
+    return strip(f"regexp_replace(array_to_string({lines}, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def sql_bucket(c: str) -> str:
+    return f"('0x' || substr(sha256({c}), 1, 8))::BIGINT % 100"
+
+
+def sql_shuffle(seed: int, c: str) -> str:
+    return f"substr(sha256('{seed}:' || {c}), 1, 16)"
+
+
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# --- normalisation and identity ------------------------------------------------------------
+@query(f"SELECT evidence_source_id, source_index, {sql_inline('text')} AS line FROM d3_fault_texts")
+def inline_texts(spark, sf_dir):
+    return table(spark, sf_dir, "d3_fault_texts").select("evidence_source_id", "source_index", X.inline(F.col("text"), False).alias("line"))
+
+
+@query(f"SELECT doc_id, {sql_document('text')} AS body FROM documents")
+def document_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.document(F.col("text"), False).alias("body"))
+
+
+@query()
+def composed_texts(spark, sf_dir):
+    """As document_texts, with the compatibility form."""
+    return table(spark, sf_dir, "d4_documents").select("document_id", X.document(F.col("text")).alias("body"))
+
+
+@query(f"SELECT evidence_source_id, {sql_inline('regexp_replace(coalesce(answer, chr(32)), ' + quoted('(?i)(?:https?://|www[.])[^' + BLANK[1:-1] + ']+') + ', chr(32), ' + quoted('g') + ')')} AS answer FROM d2_qa")
+def answers_without_urls(spark, sf_dir):
+    return table(spark, sf_dir, "d2_qa").select("evidence_source_id", X.without_urls(F.col("answer"), False).alias("answer"))
+
+
+@query("SELECT vehicle_id, " + ", ".join(f"regexp_replace(lower({sql_inline(c)}), '[^a-z0-9\\x{{4e00}}-\\x{{9fff}}]+', '', 'g') AS {c}_key" for c in ("brand", "model")) + " FROM vehicle_catalogue")
+def name_keys(spark, sf_dir):
+    return table(spark, sf_dir, "vehicle_catalogue").select("vehicle_id", X.name_key(F.col("brand"), False).alias("brand_key"), X.name_key(F.col("model"), False).alias("model_key"))
+
+
+@query(
+    f"SELECT query_id, 'q_' || substr(sha256(query || chr(0) || coalesce(base_answer, '')), 1, 16) AS sample_id, {sql_bucket('query_id')} AS bucket, "
+    f"CASE WHEN {sql_bucket('query_id')} < 90 THEN 'train' WHEN {sql_bucket('query_id')} < 95 THEN 'validation' ELSE 'test' END AS stable FROM d1_queries"
+)
+def stable_splits(spark, sf_dir):
+    q = F.col("query_id")
+    return table(spark, sf_dir, "d1_queries").select(q, X.identity("q", F.col("query"), F.col("base_answer")).alias("sample_id"), X.bucket(q).alias("bucket"), X.split_of(q).alias("stable"))
+
+
+@query(f"SELECT stable AS split, count(*) AS n FROM (SELECT CASE WHEN {sql_bucket('query_id')} < 80 THEN 'train' WHEN {sql_bucket('query_id')} < 90 THEN 'validation' ELSE 'test' END AS stable FROM d1_queries) GROUP BY 1")
+def split_counts(spark, sf_dir):
+    return table(spark, sf_dir, "d1_queries").select(X.split_of(F.col("query_id"), 80, 10).alias("split")).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT DISTINCT evidence_source_id, {sql_shuffle(42, 'evidence_source_id')} AS place FROM d2_qa ORDER BY place, evidence_source_id LIMIT 100")
+def hash_sample(spark, sf_dir):
+    df = table(spark, sf_dir, "d2_qa").select("evidence_source_id", X.shuffle_key(42, F.col("evidence_source_id")).alias("place")).distinct()
+    return relations.hash_sample(df, 100, 42, "evidence_source_id")
+
+
+# --- deduplication ---------------------------------------------------------------------------
+def evidence(spark, sf_dir) -> DataFrame:
+    """source_rank, source, record_id, text, split of the three evidence tables."""
+    d2, d3, d4 = (table(spark, sf_dir, t) for t in ("d2_qa", "d3_fault_texts", "d4_documents"))
+    qa = F.concat(F.lit("Question: "), F.col("question"), F.lit("\n\nAnswer: "), F.coalesce("answer", F.lit("")))
+    rows = d2.select(F.lit(1).alias("source_rank"), F.lit("d2").alias("source"), F.col("evidence_source_id").alias("record_id"), qa.alias("text"), "split", "language")
+    rows = rows.unionByName(d3.select(F.lit(2).alias("source_rank"), F.lit("d3").alias("source"), F.col("evidence_source_id").alias("record_id"), "text", "split", "language"))
+    return rows.unionByName(d4.select(F.lit(3).alias("source_rank"), F.lit("d4").alias("source"), F.col("document_id").alias("record_id"), "text", "split", "language"))
+
+
+SQL_EVIDENCE = (
+    "SELECT 1 AS source_rank, 'd2' AS source, evidence_source_id AS record_id, 'Question: ' || question || chr(10) || chr(10) || 'Answer: ' || coalesce(answer, '') AS text, split FROM d2_qa "
+    "UNION ALL SELECT 2, 'd3', evidence_source_id, text, split FROM d3_fault_texts UNION ALL SELECT 3, 'd4', document_id, text, split FROM d4_documents"
+)
+
+
+@query(
+    f"WITH e AS ({SQL_EVIDENCE}), k AS (SELECT source_rank, source, record_id, split, sha256(lower({sql_inline('text')})) AS k FROM e) "
+    "SELECT k AS text_key, source, record_id, split FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY source_rank, record_id, split) AS n FROM k) WHERE n = 1"
+)
+def evidence_first_wins(spark, sf_dir):
+    rows = evidence(spark, sf_dir).select("source_rank", "source", "record_id", "split", F.sha2(X.key(F.col("text"), False), 256).alias("text_key"))
+    return dedup.first_wins(rows, ["text_key"], ["source_rank", "record_id", "split"]).select("text_key", "source", "record_id", "split")
+
+
+@query(
+    f"WITH k AS (SELECT query_id, source_index, lower({sql_inline('query')}) AS k, len(flags) > 0 OR domain_status = 'non_automotive' AS blocked FROM d1_queries), "
+    "f AS (SELECT k, min(source_index) AS first FROM k WHERE NOT blocked GROUP BY k) "
+    "SELECT query_id, source_index, coalesce(source_index > first, false) AS duplicate FROM k LEFT JOIN f USING (k)"
+)
+def repeated_queries(spark, sf_dir):
+    rows = table(spark, sf_dir, "d1_queries").select("query_id", "source_index", X.key(F.col("query"), False).alias("k"), ((F.size("flags") > 0) | (F.col("domain_status") == "non_automotive")).alias("blocked"))
+    return dedup.repeated_after_keeper(rows, ["k"], "source_index", F.col("blocked")).select("query_id", "source_index", "duplicate")
+
+
+@query(
+    f"WITH k AS (SELECT DISTINCT query_id, split, lower({sql_inline('query')}) AS k, {sql_shuffle(42, 'query_id')} AS o FROM d1_queries), "
+    "a AS (SELECT *, row_number() OVER (PARTITION BY split, k ORDER BY o, query_id) AS n FROM k), "
+    "b AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY o, query_id) AS m FROM a WHERE n = 1), "
+    "c AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE split WHEN 'test' THEN 0 WHEN 'validation' THEN 1 ELSE 2 END, o, query_id) AS p FROM b WHERE split = 'train' OR m <= 200) "
+    "SELECT query_id, split FROM c WHERE p = 1"
+)
+def split_safe_queries(spark, sf_dir):
+    """At most 200 queries in each held-out split (the export's cap), none of them also in train."""
+    rows = table(spark, sf_dir, "d1_queries").select("query_id", "split", X.key(F.col("query"), False).alias("k")).distinct()
+    safe = dedup.split_safe(rows, "k", "split", X.shuffle_key(42, F.col("query_id")), {"validation": 200, "test": 200}, {"test": 0, "validation": 1, "train": 2}, "query_id")
+    return safe.select("query_id", "split")
+
+
+@query(
+    "WITH k AS (SELECT query_id, source_index, domain_status FROM d1_queries), f AS (SELECT max(source_index) AS last, count(*) AS n FROM (SELECT source_index FROM k WHERE domain_status = 'automotive' ORDER BY source_index LIMIT 1000)) "
+    "SELECT query_id, source_index, domain_status FROM k, f WHERE n < 1000 OR source_index <= last"
+)
+def kept_prefix(spark, sf_dir):
+    """Rows up to the thousandth kept one (a run limit)."""
+    rows = table(spark, sf_dir, "d1_queries").select("query_id", "source_index", "domain_status")
+    return dedup.kept_prefix(rows, "source_index", F.col("domain_status") == "automotive", 1000)
+
+
+# --- rules -------------------------------------------------------------------------------------
+def _sql_scores() -> str:
+    return ", ".join("(" + " + ".join(f"(length(t) - length(replace(t, {quoted(p)}, ''))) // {len(p)}" for p in parts) + f") AS s_{n}" for n, parts in V.SYSTEM.items())
+
+
+def _sql_best() -> str:
+    best = "greatest(" + ", ".join(f"s_{n}" for n in V.SYSTEM) + ")"
+    return f"CASE WHEN {best} <= 0 THEN 'other' " + " ".join(f"WHEN s_{n} = {best} THEN '{n}'" for n in V.SYSTEM) + " END"
+
+
+def _sql_first() -> str:
+    return "CASE " + " ".join("WHEN " + " OR ".join(f"contains(t, {quoted(p)})" for p in parts) + f" THEN '{n}'" for n, parts in V.POWERTRAIN.items()) + " ELSE 'unknown' END"
+
+
+@query(f"WITH t AS (SELECT evidence_source_id, source_index, lower({sql_inline('text')}) AS t FROM d3_fault_texts), s AS (SELECT *, {_sql_scores()} FROM t) SELECT evidence_source_id, source_index, {_sql_best()} AS system_label, {_sql_first()} AS powertrain_label FROM s")
+def text_labels(spark, sf_dir):
+    rows = table(spark, sf_dir, "d3_fault_texts").select("evidence_source_id", "source_index", X.key(F.col("text"), False).alias("t"))
+    rows = rows.withColumn("scores", R.label_scores(F.col("t"), V.SYSTEM))
+    return rows.select("evidence_source_id", "source_index", R.best_label(F.col("scores"), list(V.SYSTEM), "other").alias("system_label"), R.first_label(F.col("t"), V.POWERTRAIN, "unknown").alias("powertrain_label"))
+
+
+def _sql_term(t: str, c: str) -> str:
+    return f"regexp_matches({c}, {quoted('(^|[^a-z0-9])' + t + '([^a-z0-9]|$)')})" if R._PLAIN_TERM.fullmatch(t) else f"contains({c}, {quoted(t)})"
+
+
+@query(
+    f"WITH t AS (SELECT evidence_source_id, source_index, lower({sql_inline('question')}) AS q, lower({sql_inline('answer')}) AS a FROM d2_qa) SELECT evidence_source_id, source_index, "
+    + "CASE WHEN " + " OR ".join(_sql_term(t, "q") for t in V.FOREIGN_TERMS) + " THEN 'outside' WHEN " + " OR ".join(_sql_term(t, c) for t in V.DOMAIN_TERMS for c in ("q", "a")) + " THEN 'inside' ELSE 'uncertain' END AS domain, "
+    + "list_sort(list_filter([" + ", ".join("CASE WHEN " + " OR ".join(_sql_term(t, "a") for t in ts) + f" THEN '{n}' END" for n, ts in V.RISK_TERMS.items()) + "], lambda x: x IS NOT NULL))::VARCHAR AS risks FROM t"
+)
+def domain_and_risks(spark, sf_dir):
+    rows = table(spark, sf_dir, "d2_qa").select("evidence_source_id", "source_index", X.key(F.col("question"), False).alias("q"), X.key(F.col("answer"), False).alias("a"))
+    risks = F.concat(F.lit("["), F.array_join(R.term_flags(F.col("a"), V.RISK_TERMS), ", "), F.lit("]"))
+    return rows.select("evidence_source_id", "source_index", R.domain_of(F.col("q"), V.DOMAIN_TERMS, V.FOREIGN_TERMS, auxiliary=F.col("a")).alias("domain"), risks.alias("risks"))
+
+
+@query(f"WITH t AS (SELECT evidence_source_id, source_index, {sql_document('text')} AS t FROM d3_fault_texts) SELECT evidence_source_id, source_index, " + ", ".join(f"len(regexp_extract_all(t, {quoted('(?i)' + p)}))::INT AS {n}" for n, p in V.PROCESS_COUNTS.items()) + " FROM t")
+def process_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "d3_fault_texts").select("evidence_source_id", "source_index", R.counts_of(X.document(F.col("text"), False), V.PROCESS_COUNTS).alias("c"))
+    return rows.select("evidence_source_id", "source_index", "c.*")
+
+
+@query()
+def numbered_steps(spark, sf_dir):
+    return table(spark, sf_dir, "d4_documents").select("document_id", R.counts_of(X.document(F.col("text")), {"step_count": V.NUMBERED_STEP})["step_count"].alias("step_count"))
+
+
+@query()
+def bypass_pairs(spark, sf_dir):
+    """Answers in which an action and an object stand close together, in a sentence that instructs."""
+    pair = R.near_pair(X.key(F.col("answer")), r"bypass|disable|override|jump|绕过|短接", r"interlock|airbag|parking brake|relay|fuse|sensor|继电器|传感器", 55, context=r"you can|should|need to|可以|需要|应")
+    return table(spark, sf_dir, "d2_qa").select("evidence_source_id", pair.alias("paired")).groupBy("paired").agg(F.count("*").alias("n"))
+
+
+# --- literals, arrays, JSON ----------------------------------------------------------------------
+@query()
+def text_literals(spark, sf_dir):
+    rows = table(spark, sf_dir, "d3_fault_texts")
+    found = A.literals(F.col("text"))
+    return rows.select("evidence_source_id", "source_index", F.array_join(found, "|").alias("found"), F.size(A.unsupported(F.col("text"), F.array(F.array_join("literals", " ")))).alias("unsupported"))
+
+
+@query(
+    f"WITH l AS (SELECT unnest(literals) AS x FROM d1_queries), p AS (SELECT upper(regexp_replace(x, '{BLANK}+', '', 'g')) AS p FROM l WHERE x IS NOT NULL), "
+    "d AS (SELECT p, regexp_extract(p, '^([0-9]{2}|[0-9]{4})(?:年|款)$', 1) AS y FROM p) "
+    "SELECT CASE WHEN length(y) = 4 THEN 'MODEL_YEAR:' || y WHEN length(y) = 2 AND y::INT <= 29 THEN 'MODEL_YEAR:' || (2000 + y::INT) WHEN length(y) = 2 AND y::INT >= 80 THEN 'MODEL_YEAR:' || (1900 + y::INT) ELSE p END AS literal_key, count(*) AS n FROM d GROUP BY 1"
+)
+def literal_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "d1_queries").select(F.explode("literals").alias("x")).where("x is not null")
+    return rows.groupBy(A.literal_key(F.col("x")).alias("literal_key")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_type, count(*) AS n, sum((props->>'k')::BIGINT)::BIGINT AS total FROM events GROUP BY 1")
+def model_answers(spark, sf_dir):
+    """JSON objects out of fenced answers."""
+    answer = F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```"))
+    rows = table(spark, sf_dir, "events").select("event_type", A.model_json(answer, "k long")["k"].alias("k"))
+    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+
+
+@query("SELECT unnest(flags) AS label, count(*) AS n FROM d1_queries GROUP BY 1")
+def flag_counts(spark, sf_dir):
+    return relations.counts(table(spark, sf_dir, "d1_queries"), "flags")
+
+
+@query(
+    "SELECT 'domain_status' AS field, domain_status AS value, count(*) AS n FROM d1_queries GROUP BY 2 UNION ALL SELECT 'intent', intent, count(*) FROM d1_queries GROUP BY 2 "
+    "UNION ALL SELECT 'split', split, count(*) FROM d1_queries GROUP BY 2 UNION ALL SELECT 'system', system, count(*) FROM d1_queries GROUP BY 2"
+)
+def label_counts(spark, sf_dir):
+    """Four groupings in one pass over the table."""
+    fields = ["domain_status", "intent", "split", "system"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("p")
+    return table(spark, sf_dir, "d1_queries").select(pairs).groupBy("p.field", "p.value").agg(F.count("*").alias("n"))
+
+
+@query(
+    "SELECT split, count(confidence) AS n, round(min(confidence), 6) AS min, round(quantile_cont(confidence, 0.25), 6) AS p25, round(quantile_cont(confidence, 0.5), 6) AS median, "
+    "round(quantile_cont(confidence, 0.75), 6) AS p75, round(max(confidence), 6) AS max, round(avg(confidence), 6) AS mean FROM retrieval_results GROUP BY 1"
+)
+def confidence_summary(spark, sf_dir):
+    return retrieval.score_summary(table(spark, sf_dir, "retrieval_results"), "confidence", ["split"])
+
+
+@query("SELECT CASE WHEN confidence IS NULL THEN 'none' WHEN confidence >= 0.65 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END AS grade, retrieval_status, coalesce(len(candidates), 0) AS candidates, count(*) AS n FROM retrieval_results GROUP BY ALL")
+def retrieval_counts(spark, sf_dir):
+    grade = R.grade(F.col("confidence"), [(0.65, "high"), (0.60, "medium")], "none", "low").alias("grade")
+    size = F.coalesce(F.when(F.col("candidates").isNotNull(), F.size("candidates")), F.lit(0)).alias("candidates")
+    return table(spark, sf_dir, "retrieval_results").groupBy(grade, "retrieval_status", size).agg(F.count("*").alias("n"))
+
+
+# --- joins -------------------------------------------------------------------------------------------
+@query("SELECT r.query_id, q.query, CASE WHEN q.query_id IS NULL THEN 'query_not_found' END AS lookup_error FROM retrieval_results r LEFT JOIN (SELECT query_id, min(query) AS query FROM d1_queries WHERE split <> 'test' GROUP BY 1) q USING (query_id)")
+def retrieval_lookup(spark, sf_dir):
+    known = table(spark, sf_dir, "d1_queries").where("split <> 'test'").groupBy("query_id").agg(F.min("query").alias("query"))
+    return relations.lookup(table(spark, sf_dir, "retrieval_results").select("query_id"), known, "query_id", "query_not_found").select("query_id", "query", "lookup_error")
+
+
+@query(
+    f"WITH e AS (SELECT record_id, any_value(source) AS owner FROM ({SQL_EVIDENCE}) GROUP BY 1), c AS (SELECT query_id, unnest(candidates) AS c FROM retrieval_results) "
+    "SELECT c.source AS source, owner, count(*) AS n, round(avg(c.score), 6) AS mean_score FROM c JOIN e ON c.source_record_id = e.record_id GROUP BY 1, 2"
+)
+def candidate_evidence(spark, sf_dir):
+    owners = evidence(spark, sf_dir).groupBy("record_id").agg(F.min("source").alias("owner"))
+    rows = relations.expanded(table(spark, sf_dir, "retrieval_results"), "candidates", ["query_id"])
+    return rows.join(owners, F.col("source_record_id") == F.col("record_id")).groupBy("source", "owner").agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
+
+
+@query("SELECT DISTINCT document_id FROM d4_documents WHERE document_id NOT IN (SELECT c.source_record_id FROM (SELECT unnest(candidates) AS c FROM retrieval_results) WHERE c.source_record_id IS NOT NULL)")
+def unused_documents(spark, sf_dir):
+    used = table(spark, sf_dir, "retrieval_results").select(F.transform("candidates", lambda c: c["source_record_id"]).alias("ids"))
+    return relations.unused(table(spark, sf_dir, "d4_documents").select("document_id").distinct(), "document_id", used, "ids")
+
+
+@query(
+    "WITH b AS (SELECT evidence_source_id AS id, 'base' AS origin FROM d2_qa GROUP BY 1), c AS (SELECT evidence_source_id AS id, 'change' AS origin FROM d2_qa WHERE metadata.storage_source IS NULL GROUP BY 1) "
+    "SELECT * FROM c UNION ALL SELECT * FROM b WHERE id NOT IN (SELECT id FROM c)"
+)
+def upserted_answers(spark, sf_dir):
+    rows = table(spark, sf_dir, "d2_qa")
+    base = rows.select(F.col("evidence_source_id").alias("id"), F.lit("base").alias("origin")).distinct()
+    changes = rows.where("metadata.storage_source is null").select(F.col("evidence_source_id").alias("id"), F.lit("change").alias("origin"))
+    return relations.upsert(base, changes, "id", ["origin"])
+
+
+@query(
+    "WITH r AS (SELECT query_id, substr(sha256(query_id || chr(0) || split), 1, 32) AS f FROM d1_queries GROUP BY ALL), c AS (SELECT query_id, substr(sha256(query_id || chr(0) || retrieval_status), 1, 32) AS f FROM retrieval_results "
+    "UNION SELECT query_id, substr(sha256(query_id || chr(0) || split), 1, 32) FROM retrieval_results) SELECT c.query_id IS NOT NULL AS cached, count(*) AS n FROM r LEFT JOIN c USING (query_id, f) GROUP BY 1"
+)
+def cache_hits(spark, sf_dir):
+    print_of = lambda c: X.digest(F.concat_ws("\0", "query_id", c), 32).alias("f")
+    records = table(spark, sf_dir, "d1_queries").select("query_id", print_of("split")).distinct()
+    results = table(spark, sf_dir, "retrieval_results")
+    cache = results.select("query_id", print_of("retrieval_status")).union(results.select("query_id", print_of("split")))
+    return relations.cache_state(records, cache, "query_id", "f").groupBy("cached").agg(F.count("*").alias("n"))
+
+
+# --- retrieval -----------------------------------------------------------------------------------------
+def _vectors(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("evidence_id"), F.col("embedding").alias("vector"), F.concat(F.lit("s"), F.col("label")).alias("system"))
+
+
+def _queries(vectors: DataFrame) -> DataFrame:
+    return vectors.where("evidence_id % 20 = 0").withColumnRenamed("evidence_id", "query_id")
+
+
+SQL_NEAREST = (
+    "SELECT q.vec_id AS query_id, e.vec_id AS evidence_id, list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS raw, round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score, 's' || q.label AS qs, 's' || e.label AS es, "
+    "row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 12) DESC, e.vec_id) AS raw_rank FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0"
+)
+
+
+@query(f"SELECT query_id, evidence_id, score, raw_rank FROM ({SQL_NEAREST}) WHERE raw_rank <= 10")
+def nearest_vectors(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    found = retrieval.nearest(_queries(vectors), vectors, 10)
+    return found.select("query_id", "evidence_id", F.round("raw_score", 6).alias("score"), "raw_rank")
+
+
+def _rescored(spark, sf_dir, cfg) -> DataFrame:
+    vectors = _vectors(spark, sf_dir).withColumns({"powertrain": F.lit(None).cast("string"), "literals": F.lit(None).cast("array<string>"), "source_record_id": F.col("evidence_id")})
+    queries = _queries(vectors)
+    return retrieval.rescored(retrieval.nearest(queries, vectors, cfg.pool), queries, vectors, cfg)
+
+
+@query(f"SELECT query_id, evidence_id, round(raw + CASE WHEN qs = es THEN 0.02 ELSE -0.03 END, 6) AS adjusted FROM ({SQL_NEAREST}) WHERE raw_rank <= 50 AND raw >= 0.2")
+def rescored_vectors(spark, sf_dir):
+    cfg = retrieval.RetrievalConfig(min_score=0.2, system_bonus=0.02, system_penalty=0.03)
+    return _rescored(spark, sf_dir, cfg).select("query_id", "evidence_id", F.col("adjusted_score").alias("adjusted"))
+
+
+@query()
+def selected_vectors(spark, sf_dir):
+    cfg = retrieval.RetrievalConfig(min_score=0.2, dedup_similarity=0.5, diversity_margin=0.3)
+    return retrieval.selected(_rescored(spark, sf_dir, cfg), cfg)
+
+
+@query(
+    f"WITH t AS (SELECT evidence_source_id AS id, source_index, lower({sql_inline('text')}) AS t FROM d3_fault_texts), "
+    "k AS (SELECT DISTINCT id, source_index, list_concat(regexp_extract_all(t, '[a-z0-9]+|[\\x{4e00}-\\x{9fff}]'), list_transform(range(1, greatest(length(t) - 1, 1)), lambda i: substr(t, i, 3))) AS ks FROM t), "
+    "e AS (SELECT id, source_index, md5(k) AS h FROM (SELECT id, source_index, unnest(ks) AS k FROM k)), "
+    "s AS (SELECT id, source_index, ('0x' || substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2))::BIGINT % 512 AS slot, sum(CASE WHEN ('0x' || substr(h, 9, 2))::BIGINT % 2 = 0 THEN 1 ELSE -1 END) AS v FROM e GROUP BY ALL) "
+    "SELECT id, source_index, count(*) FILTER (v <> 0) AS filled, round(sqrt(sum(v * v)::DOUBLE), 6) AS norm FROM s GROUP BY ALL"
+)
+def hashed_embeddings(spark, sf_dir):
+    """Signed hashing of words, ideographs and runs of three: filled slots and norm of each vector."""
+    rows = table(spark, sf_dir, "d3_fault_texts").select(F.col("evidence_source_id").alias("id"), "source_index", X.key(F.col("text"), False).alias("t")).distinct()
+    slots = rows.select("id", "source_index", F.explode(A.hashed_tokens(F.col("t"))).alias("k")).select("id", "source_index", A.token_slot(F.col("k"), 512).alias("s"))
+    sums = slots.groupBy("id", "source_index", "s.slot").agg(F.sum("s.sign").alias("v"))
+    return sums.groupBy("id", "source_index").agg(F.count_if(F.col("v") != 0).alias("filled"), F.round(F.sqrt(F.sum(F.col("v") * F.col("v")).cast("double")), 6).alias("norm"))
+
+
+# --- samples, checks, export --------------------------------------------------------------------------------
+@query(f"WITH e AS (SELECT DISTINCT source, record_id FROM ({SQL_EVIDENCE})) SELECT source, record_id, row_number() OVER (PARTITION BY source ORDER BY {sql_shuffle(42, 'record_id')}, record_id)::INT AS turn FROM e")
+def round_robin(spark, sf_dir):
+    return relations.round_robin(evidence(spark, sf_dir).select("source", "record_id").distinct(), "source", "record_id", 42)
+
+
+@query(
+    f"WITH q AS (SELECT query_id, min(intent) AS intent, min(split) AS split, max(len(flags)) AS f FROM d1_queries GROUP BY 1), s AS (SELECT *, row_number() OVER (PARTITION BY intent ORDER BY {sql_shuffle(42, 'query_id')}, query_id) AS n FROM q) "
+    "SELECT query_id, CASE WHEN f > 0 THEN 'flagged' WHEN split = 'test' THEN 'test' ELSE 'intent:' || intent END AS review_reason FROM s WHERE f > 0 OR split = 'test' OR n <= 30"
+)
+def review_sample(spark, sf_dir):
+    rows = table(spark, sf_dir, "d1_queries").groupBy("query_id").agg(F.min("intent").alias("intent"), F.min("split").alias("split"), F.max(F.size("flags")).alias("f"))
+    always = [(F.col("split") == "test", F.lit("test")), (F.col("f") > 0, F.lit("flagged"))]
+    return relations.review_sample(rows, "query_id", {"intent": F.col("intent")}, 30, 42, always).select("query_id", "review_reason")
+
+
+@query(
+    "WITH e AS (SELECT unnest(list_filter([CASE WHEN split NOT IN ('train', 'validation', 'test') THEN 'invalid_split' END, CASE WHEN coalesce(question, '') = '' THEN 'empty_question' END, CASE WHEN coalesce(answer, '') = '' THEN 'empty_answer' END, "
+    "CASE WHEN length(coalesce(question, '')) + length(coalesce(answer, '')) > 600 THEN 'too_many_chars' END], lambda x: x IS NOT NULL)) AS code FROM d2_qa) SELECT code, count(*) AS n FROM e GROUP BY 1"
+)
+def sample_errors(spark, sf_dir):
+    q, a = F.coalesce("question", F.lit("")), F.coalesce("answer", F.lit(""))
+    codes = {"invalid_split": ~F.col("split").isin("train", "validation", "test"), "empty_question": q == "", "empty_answer": a == "", "too_many_chars": F.length(q) + F.length(a) > 600}
+    return relations.counts(table(spark, sf_dir, "d2_qa").select(generation.error_codes(codes).alias("codes")), "codes", "code")
+
+
+@query("SELECT evidence_source_id, source_index, question, coalesce(answer, '') AS answer FROM d2_qa")
+def conversation_round_trip(spark, sf_dir):
+    """Question and answer as a two-turn conversation, written as JSON and read back."""
+    rows = files.conversations(table(spark, sf_dir, "d2_qa").select("evidence_source_id", "source_index", "question", "answer"), "question", "answer")
+    kind = rows.schema["conversations"].dataType
+    back = rows.select("evidence_source_id", "source_index", F.from_json(F.to_json("conversations", {"ignoreNullFields": "false"}), kind).alias("conversations"))
+    return files.turns(back).drop("conversations")
+
+
+@query()
+def evidence_split_counts(spark, sf_dir):
+    """Chunks of the technical documents: normalised, cut, first of equal ones, counted by split and language."""
+    rows = table(spark, sf_dir, "d4_documents").select("document_id", "split", "language", "text")
+    cut = chunking.exploded(rows, "text", 2000, 80)
+    cut = cut.select("document_id", "split", "language", "chunk_index", F.length("chunk").alias("size"), F.sha2(F.lower("chunk"), 256).alias("k"))
+    first = dedup.first_wins(cut, ["k"], ["document_id", "chunk_index"])
+    return first.groupBy("split", "language").agg(F.count("*").alias("chunks"), F.sum("size").cast("long").alias("chars"))
+
+
+@query()
+def corpus_chunks(spark, sf_dir):
+    """Pre-training chunks of all evidence: validation wins over train, then hash order."""
+    rows = evidence(spark, sf_dir).where("split <> 'test'")
+    cut = chunking.exploded(rows, "text", 6000, 20)
+    cut = cut.withColumn("pt_id", F.concat_ws("_", F.lit("pt"), "source", X.digest(F.col("record_id")), F.col("chunk_index")))
+    narrow = cut.select("pt_id", "source", "split", F.length("chunk").alias("size"), F.sha2(F.lower("chunk"), 256).alias("k"), X.shuffle_key(42, F.col("pt_id")).alias("o"))
+    rank = F.when(F.col("split") == "validation", 0).otherwise(1)
+    return dedup.by_priority(narrow, ["k"], rank, ["o", "pt_id"]).select("pt_id", "source", "split", "size")
+
+
+@query()
+def vehicle_mentions(spark, sf_dir):
+    """Vehicles named in the queries against the declared one."""
+    catalogue = names.alias_catalogue(table(spark, sf_dir, "vehicle_catalogue"))
+    rows = table(spark, sf_dir, "d1_queries").select("query_id", "instruction_vehicle", "query").distinct()
+    keyed = rows.select("query_id", X.name_key(F.col("query")).alias("k"), F.concat(X.name_key(F.col("instruction_vehicle.brand")), X.name_key(F.col("instruction_vehicle.model"))).alias("declared"))
+    found = names.mentions(keyed, "query_id", "k", catalogue).groupBy("query_id").agg(F.array_sort(F.collect_set("alias")).alias("found"))
+    joined = keyed.select("query_id", "declared").join(found, "query_id", "left")
+    return joined.groupBy(names.consistency(F.col("declared"), F.col("found")).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query()
+def generated_answers(spark, sf_dir):
+    """A generation stage with an offline provider: prompts, pending set, call, parsing, counts."""
+    rows = table(spark, sf_dir, "d2_qa").groupBy("evidence_source_id").agg(F.min("question").alias("question"))
+    rows = rows.withColumn("prompt", generation.prompt_of([F.lit("Question:"), F.col("question")])).withColumn("f", relations.input_hash(F.col("prompt"), F.lit("mock").alias("model")))
+    cache = rows.where("f < '8'").select("evidence_source_id", "f")
+    todo = generation.pending(rows, cache, "evidence_source_id", "f")
+    done = generation.generate(todo.select("evidence_source_id", "prompt"), "prompt", generation.constant_provider({"route": "no_evidence", "answer": "not known yet"}))
+    return done.select(A.model_json(F.col("response"), "route string, answer string")["route"].alias("route"), "attempts").groupBy("route", "attempts").agg(F.count("*").alias("n"))
+
+
+@query()
+def file_inventory(spark, sf_dir):
+    rows = files.inventory(spark, sf_dir)
+    return rows.groupBy("extension", "temporary").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
