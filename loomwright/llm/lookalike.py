@@ -32,7 +32,7 @@ import numpy as np
 TWINS = """
 A Α А
 B Β В
-C Ϲ С
+C - С
 E Ε Е
 H Η Н
 I Ι І
@@ -48,7 +48,7 @@ X Χ Х
 Y Υ Ү
 Z Ζ -
 a - а
-c ϲ с
+c - с
 e - е
 i - і
 j ϳ ј
@@ -67,6 +67,8 @@ RADICALS = """
 ⺟母 ⺠民 ⻁虎 ⻄西 ⻅见 ⻆角 ⻉贝 ⻋车 ⻓长 ⻔门 ⻘青 ⻙韦 ⻚页 ⻛风 ⻜飞 ⻝食 ⻢马 ⻣骨 ⻤鬼 ⻥鱼 ⻦鸟
 ⻧卤 ⻨麦 ⻩黄 ⻫斉 ⻬齐 ⻮齿 ⻯竜 ⻰龙 ⻱龜 ⻲亀 ⻳龟
 """
+# letters whose compatibility mapping changes their look
+LOOKS = "ϹC ϲc"
 HYPHENS = "‐‑−﹣－"
 LINE_ENDS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85  "
 # --------------------------------------------------------------------------------------
@@ -78,7 +80,7 @@ for _row in TWINS.split("\n"):
         _members = {s: c for s, c in zip(_SCRIPTS, _row.split(" ")) if c != "-"}
         for _c in _members.values():
             _CLASS[_c] = _members
-_RADICAL = {x[0]: x[1] for x in RADICALS.split()}
+_RADICAL = {x[0]: x[1] for x in (RADICALS + LOOKS).split()}
 _KEPT_KINDS = ("<super>", "<sub>", "<fraction>", "<circle>")
 
 
@@ -188,6 +190,11 @@ def _table(mode: str) -> np.ndarray:
     return _tables[mode]
 
 
+def _kept_sign(c: str, mode: str) -> int:
+    low = c if mode == "look" or len(c.lower()) > 1 else c.lower()
+    return 0 if mode == "alnum" and not low.isalnum() else ord(low)
+
+
 def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts end to end, and the bounds of each."""
     raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -246,13 +253,10 @@ def fold(texts: list[str | None], mode: str = "runs") -> tuple[np.ndarray, np.nd
             texts[i] = same_look(texts[i])
         raw, bounds = codes(texts)
         out = table[np.minimum(raw, _SIZE - 1)]
-        out = np.where(out == SLOW, raw, out)  # a sign that even the scalar form keeps
-        if mode == "alnum":
-            odd = np.flatnonzero((out == raw) & (raw > 127))
-            if len(odd):
-                distinct, where = np.unique(out[odd], return_inverse=True)
-                keep = np.array([chr(x).isalnum() for x in distinct])
-                out[odd] = np.where(keep[where], out[odd], 0)
+        rest = np.flatnonzero(out == SLOW)  # signs that the scalar form keeps
+        if len(rest):
+            distinct, where = np.unique(raw[rest], return_inverse=True)
+            out[rest] = np.array([_kept_sign(chr(c), mode) for c in distinct], dtype=np.uint32)[where]
     kept = out != 0
     if mode == "look":
         kept[:-1] &= ~((raw[:-1] == 13) & (raw[1:] == 10))

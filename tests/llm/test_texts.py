@@ -1,0 +1,120 @@
+"""Splitting, quality, tokens, packing."""
+
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from loomwright.llm import packing, quality, splitting, tokens
+
+CFG = splitting.SplitConfig(limit=50, overlap=10)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab 。.!\n\r字;", max_size=400))
+def test_pieces_round_trip(text):
+    got = splitting.pieces(text, CFG)
+    assert "".join(text[a:b][o:] for a, b, o, _ in got) == text
+    for (a, b, _, _), (c, d, o, _) in zip(got, got[1:]):
+        assert 0 <= o <= 10 and c == b - o and d > b
+    assert all(b - a <= 50 for a, b, _, _ in got)
+    if splitting.longest_stretch(text) <= 50:
+        assert all(how not in ("word", "character") for *_, how in got)
+
+
+def test_split_frame(spark):
+    df = spark.createDataFrame([("a", None), ("b", ""), ("c", "x" * 120), ("d", "短句。" * 40), ("d", "短句。" * 40)], "document_id string, text string").selectExpr("*", "1 as piece", "2 as id")
+    rows = splitting.split_texts(df, cfg=CFG).collect()
+    assert {r["id"] for r in rows} == {"b", "c", "d"} and all(r["forced"] == (r["id"] == "c") for r in rows)
+    assert splitting.split_texts(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        splitting.split_texts(df, cfg=splitting.SplitConfig(10, 10))
+
+
+KINDS = [
+    ("prose", "标题\n检查左侧制动盘,读数恢复到正常区间。更换后一周回访正常。\n1、复核线束,故障不再出现。"),
+    ("prose", "Title\nThe owner added that the lamp went out after the relay was replaced. It did not return."),
+    ("list", "标题\n" + "\n".join(f"- 左侧继电器 AX{i}123" for i in range(12))),
+    ("list", "标题\n" + "、".join(f"主继电器KT{i}42" for i in range(60))),
+    ("table", "标题\n" + "\n".join(f"主继电器,ZD{i}99,{i}.5,-,n/a,{i * 7}" for i in range(12))),
+    ("table", "Title\n" + "\n".join(f"| relay | ZD{i}99 | {i}.5 | 7 |" for i in range(9))),
+    ("table", "Title\n" + "\n".join(f"relay\tZD{i}99\t{i}.5\t7" for i in range(9))),
+    ("junk", "标题\n" + "锟斤拷烫烫屯□" * 40),
+    ("junk", "Title\n" + "\n".join("c5aERPqxfkI9TqT2OgXF7zoRnUsEJCx3wqH7A6eHkYY5CnlmPQTnEGSoT2QCj24mulLW" for _ in range(4))),
+    ("junk", "Title\n" + "xwxgrguzzlqe xouzjhlxg bjuzfzm hdrgonxk hjnzsbtn hspzuaufcv qplznrt " * 3),
+    ("prose", "only a title"),
+    ("prose", "   "),
+]
+
+
+def test_kinds(spark):
+    df = spark.createDataFrame([(str(i), t, None if i % 2 else len(t)) for i, (_, t) in enumerate(KINDS)] + [("n", None, 3)], "document_id string, text string, char_count int").selectExpr("*", "1 as kind")
+    got = {r["id"]: r for r in quality.quality(df).collect()}
+    assert [got[str(i)]["kind"] for i in range(len(KINDS))] == [k for k, _ in KINDS]
+    assert got["n"]["kind"] is None and got["0"]["count_ratio"] == 1.0 and got["1"]["count_ratio"] is None
+    assert quality.quality(df.limit(0)).count() == 0
+
+
+def test_repetition():
+    body = "t\n" + "same line here\n" * 4 + "other line\n"
+    row = dict(zip(quality.NAMES, quality.stats([body], [None])[0]))
+    assert row["dup_lines"] == pytest.approx(1 - 2 / 5) and row["top_run"] > 0.4
+
+
+TEXTS = ["", "Hello world, it's 12345!", "温度升到29°C时,轮速传感器回路电阻由864.77Ω变为245.71Ω。", "  \n\n\t x  ", "a" * 300, "é́ﬁ😀�", "prüfung straße " * 20]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
+def test_tokens_are_exact(spark, name):
+    spec = tokens.Tokenizer(f"/opt/tokenizers/{name}")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(99, None)], "tokens int, text string")
+    got = {r["id"]: r["n"] for r in tokens.token_counts(df.withColumnRenamed("tokens", "id"), "text", spec, "n").collect()}
+    assert got == {**{i: len(tokens.encoding(spec).encode_ordinary(t)) for i, t in enumerate(TEXTS)}, 99: None}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=30), max_size=6))
+def test_prefix_states(pieces):
+    spec = tokens.Tokenizer()
+    counter = tokens._counter(spec)
+    counter.learn(pieces)
+    for p in pieces:
+        assert counter.known[p] == (len(tokens.encoding(spec)._encode_single_piece(p.encode())) if p else 0)
+
+
+def test_language_and_budget(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("a", "x y", "zh_CN", "1"), ("a", "x y", "ZH", "2"), ("b", None, "chinese", "1"), ("c", "z", None, "1"), (None, "z", "de-DE", "1")]
+    df = spark.createDataFrame(rows, "document_id string, text string, language string, extracted_at string")
+    got = {tuple(r) for r in tokens.token_budget(df, "document_id", "text", "extracted_at", {"language": tokens.language_tag(F.col("language"))}).collect()}
+    assert got == {("zh", 2, 3, 2), ("und", 1, 1, 1)}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=25))
+def test_plan_is_whole_and_fits(histogram):
+    bins, used = {}, {}
+    for size, lo, hi, first in packing.plan(histogram, 60):
+        assert used.get(size, 0) == lo
+        used[size] = hi
+        for k in range(hi - lo):
+            bins.setdefault(first + k, []).append(size)
+    assert used == histogram and all(sum(v) <= 60 for v in bins.values()) and set(bins) == set(range(len(bins)))
+    assert all(sum(3 * s > 60 for s in v) <= 2 for v in bins.values())
+
+
+def test_pack(spark, invent):
+    r = random.Random(1)
+    rows = [(i, invent(i, r.randint(1, 400))) for i in range(60)] + [(100, ""), (101, None), (102, invent(7, 5000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as bin", "2 as size")
+    targets = spark.createDataFrame([("s", 256), ("l", 2048), ("l", 2048), ("none", None)], "target_name string, capacity_tokens int")
+    got = packing.pack(docs, targets)
+    out = got.toPandas()
+    assert (out.groupby(["target_name", "bin"])["tokens"].sum() <= out["target_name"].drop_duplicates().map({"s": 256, "l": 2048}).max()).all()
+    for name, cap in (("s", 256), ("l", 2048)):
+        part = out[out["target_name"] == name]
+        assert part.groupby("bin")["tokens"].sum().max() <= cap and not part.duplicated(["id", "part"]).any()
+        assert set(part["id"]) == {i for i, t in rows if t is not None}
+    report = {r["target_name"]: r for r in packing.fill_report(got, targets.dropna()).collect()}
+    assert report["s"]["fill"] > 0.9
