@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import stored
 from .batches import lists, spread, text_slices
 from .frames import nonblank
-from .grams import distinct_runs, inside, mix, text_hash, window_hashes
+from .grams import inside, mix, text_hash, window_hashes
 from .lookalike import fold
 
 RUN = 8
@@ -168,19 +168,26 @@ def texts_of(df: DataFrame, ids: DataFrame, id_col: str, text_col: str, limit: i
     return found.groupBy("k1").agg(F.min("text").alias("text"))
 
 
+def folded_runs(texts: list[str]) -> list[np.ndarray]:
+    """Distinct run hashes of each text, folded and hashed together."""
+    x, bounds = fold(texts)
+    h = window_hashes(x, RUN)
+    return [np.unique(h[a : max(a, b - RUN + 1)]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
 def jaccard(pairs: DataFrame) -> DataFrame:
     """a, b, ta, tb -> a, b, similarity on the distinct runs of the folded texts."""
 
     def work(batches):
         for batch in batches:
-            ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
-            out = np.zeros(len(ta))
-            for i, pair in enumerate(zip(ta, tb)):
-                x, bounds = fold(list(pair))
-                p, q = distinct_runs(x[: bounds[1]], RUN), distinct_runs(x[bounds[1] :], RUN)
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                out[i] = both / max(1, len(p) + len(q) - both)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out)], names=["a", "b", "similarity"])
+            out = []
+            for rows, ta in text_slices(batch, "ta"):
+                tb = batch.column("tb").slice(rows.start, rows.stop - rows.start).to_pylist()
+                p, q = (folded_runs(texts) for texts in (ta, tb))
+                for x, y in zip(p, q):
+                    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                    out.append(both / max(1, len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
     return pairs.select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long, similarity double")
 
