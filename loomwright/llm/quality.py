@@ -227,6 +227,8 @@ def kind_of(s: dict) -> str:
     """prose, list, table or junk."""
     if s["n_lines"] == 0:
         return "prose"
+    if s["odd_share"] >= 0.15 and s["common_ratio"] < 0.04 and s["row_share"] + s["entry_share"] < 0.3:
+        return "junk"
     if s["odd_share"] >= (0.35 if s["row_share"] < 0.5 else 0.6):
         return "junk"
     if s["row_share"] >= 0.5 and s["row_share"] >= s["entry_share"]:
