@@ -33,6 +33,11 @@ def lists(values: np.ndarray) -> pa.ListArray:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a small input comes in fewer splits than there are cores; larger inputs stay as they are."""
+    """Use all cores where a small input comes in fewer splits than there are cores; larger inputs stay as they are.
+
+    Frames that already shuffle are left alone: asking for their partitions would run them.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
