@@ -24,6 +24,14 @@ def query(f):
     return f
 
 
+_BLANK = r"[\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1c}-\x{1f}]"
+SQL["p2_found"] = f"""
+WITH t AS (SELECT document_id, max(text) AS text FROM d4_documents WHERE text IS NOT NULL GROUP BY 1),
+s AS (SELECT document_id, string_split_regex(regexp_replace(text, '[.]({_BLANK})', chr(10) || '\\1', 'g'), '[\\n\\r。！？；!?;]') AS parts FROM t WHERE length(text) > 2000 AND regexp_matches(text, '[^' || '{_BLANK[1:]}'))
+SELECT document_id, CASE WHEN list_max(list_transform(parts, lambda x: length(x))) > 2000 THEN 'forced' ELSE 'natural' END AS kind FROM s
+"""
+
+
 def records(spark, sf_dir: str) -> DataFrame:
     """The technical documents, one row per record: the last extracted, ties by file."""
     df = read(spark, sf_dir, "d4_documents")
