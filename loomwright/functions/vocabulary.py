@@ -51,3 +51,29 @@ LITERAL_FAMILIES = [
 ]
 FAULT_CODE = r"^[PCBU][0O0-9A-F][0-9A-F]{3,5}$"
 # ------------------------------------------------------------------------------------------
+
+# --- fixed values: wording by which an answer leans on something it doesn't contain ----------
+SUBSTANTIVE = r"\b(?:check|test|inspect|measure|replace|remove|install|because|therefore|voltage|resistance|diagnos|fault|engine|battery|brake)\b|检查|检测|测量|更换|拆卸|安装|因为|因此|故障|电压|电阻"
+IMAGE = r"\b(?:images?|pictures?|photos?|diagrams?)\b|\bthe\s+figure\b|\bfigure\s+\d+\b|图中|下图|上图|图片|照片|示意图"
+IMAGE_IDIOM = r"\bout\s+of\s+the\s+picture\b|\bif\s+you\s+can\s+picture\b|\bpicture\s+(?:this|a)\b"
+IMAGE_ASKED_BROAD = r"\b(?:what|which)\s+(?:is|are)\s+(?:the\s+)?(?:name\s+of\s+)?(?:this|these)\b|\b(?:is|are|can)\b.{0,35}\b(?:this|these)\b|\bidentify\b.{0,40}\b(?:part|component|item)\b|这是什么|哪个部件|识别.{0,12}(?:部件|零件)"
+IMAGE_ASKED_ATTACHED = r"\b(?:this|these)\b.{0,45}\b(?:came|fell|broke)\s+off\b|\b(?:what|which)\b.{0,35}\b(?:part|component|connector|item|piece|bolt|nut|hose|wire|box|container|device)\b.{0,25}\b(?:this|these)\b|\bwhat\s+(?:is|are)\s+(?:this|these)\s+(?:part|component|connector|item|piece|box|container|device)\b"
+IMAGE_ASKED = r"\b(?:what|which|identify|called|name|part|component|connector|colour|color|damage|safe|where|this|these)\b|什么|哪个|识别|部件|零件|损伤|安全吗|位置"
+IMAGE_POINTED = r"\b(?:the|this)\s+(?:arrow|circled|pictured)\b|\b(?:shown|pictured)\s+(?:above|below)\b|图中(?:箭头|圈出|所示)|箭头所示|圈出的"
+IMAGE_STRONG = r"\b(?:from|based\s+on|judging\s+from|according\s+to)\s+(?:the\s+|this\s+|your\s+)?(?:images?|pictures?|photos?)\b|\blooking\s+at\b.{0,30}\b(?:image|picture|photo)\b|\b(?:image|picture)\s+(?:doesn't|does\s+not)\s+show\b|\bfrom\s+what\s+i\s+can\s+see\b|\bpicture\s*\d+\b|\bmarked\s+(?:with|as)\b|\b(?:combining|using)\b.{0,30}\b(?:image|picture|photo)\b|\b(?:image|picture|photo)\b.{0,80}\b(?:that|it|this)\s+looks?\s+like\b|根据(?:图|图片)|从图中|图中可见"
+IMAGE_SHOWS = r"\b(?:image|picture)\s+(?:shows|contains|is|describes|depicts)\b|\bin\s+(?:the|this|your|these|first|second|third)\s+(?:image|picture|photo)\b|\b(?:image|picture|photo)\s+(?:above|below)\b|\bshown\s+(?:above|below)\b"
+LINK_DIRECTS = r"\b(?:see|read|follow|visit|refer to|check)\b.{0,50}\b(?:link|url|website|page)\b|\b(?:here(?:'s|\s+is)|this)\b.{0,35}\b(?:video|website|pdf|link|page|article|post|thread|manual|instructions?)\b|\b(?:video|website|page|article|post|thread|manual)\b.{0,35}\b(?:shows|tells|lists|explains|describes)\b|\bgo\s+to\b.{0,45}\b(?:website|page|link|url)\b|\bif\s+it\s+(?:sounds|looks)\s+like\s+this\b|详见链接|参见链接|访问链接"
+LINK_FULFILS = r"\b(?:video|website|page|manual|article|post|thread)\b.{0,70}\b(?:complete\s+procedure|whole\s+procedure|including\s+the\s+location|where\s+it\s+is|obtain\s+the|retrieve\s+the|gives?\s+the\s+answer)\b|\bonly\s+answering\s+where\b.{0,120}\bvideo\b"
+ACTIONS_TOLD = r"\b(?:check|test|inspect|measure|replace|remove|install|diagnos)\w*\b|检查|检测|测量|更换|拆卸|安装|诊断"
+COMMENT = r"\bcomments?\b|评论中|评论区"
+COMMENT_NEEDED = r"\b(?:see|read|check|refer to)\b.{0,40}\bcomments?\b|\bfollowing\s+(?:the\s+)?link\s+in\s+(?:this|the)\s+comment\b|as\s+(?:described|explained)\s+in\s+(?:the\s+)?comments?|详见评论|参见评论"
+OTHER_ANSWER = r"\b(?:other|another|accepted|previous)\s+answer\b|其他回答|采纳的回答"
+OTHER_ANSWER_NEEDED = r"\b(?:see|read|refer to)\b.{0,50}\b(?:other|another|accepted|previous)\s+answer\b|答案同(?:上|其他回答)|详见其他回答"
+BYPASS_WORD = r"\bbypass\b|绕过|屏蔽|短接"
+BYPASS_HARMLESS = r"屏蔽(?:线|层|电缆)"
+BYPASS_ACTION = r"\b(?:bypass|disable|defeat|override|jump)\b|绕过|禁用|屏蔽|短接|拆除"
+BYPASS_OBJECT = r"\b(?:safety\s+(?:system|switch|interlock)|interlock|speed\s+limiter|governor|airbag|emissions?\s+(?:system|control)|parking\s+brake|seat\s*belt|video\s+lock|immobilizer|high[- ]voltage\s+interlock)\b|安全装置|安全联锁|速度限制|限速器|驻车制动|安全气囊|排放控制|高压互锁"
+BYPASS_TOLD = r"\b(?:how\s+(?:to|can|do)|you\s+can|you\s+should|try\s+to|need\s+to|must|as\s+follows|instructions?|procedure|simply)\b|如何|怎么|可以|可将|需要|步骤"
+CASE_WORDING = r"一辆|一台|该车|本车|进厂|进店|送修|车主反映|故障现象|行驶里程|维修案例|经检查"
+UPKEEP_WORDING = r"保养|维护|库存电池|存放|定期充电"
+# ---------------------------------------------------------------------------------------------

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import arrays as A, rules as R, text as X, vocabulary as V
-from ..operators import chunking, dedup, generation, names, relations, retrieval
+from ..functions import arrays as A, dependence, rules as R, text as X, vocabulary as V
+from ..operators import chunking, dedup, embedding, generation, names, recall, relations, retrieval
 from ..sources import files
 
 QUERIES: dict = {}
@@ -452,3 +452,35 @@ def generated_answers(spark, sf_dir):
 def file_inventory(spark, sf_dir):
     rows = files.inventory(spark, sf_dir)
     return rows.groupBy("extension", "temporary").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+@query()
+def reference_flag_counts(spark, sf_dir):
+    """Answers that lean on images, links, comments or other answers, and risk wording."""
+    rows = table(spark, sf_dir, "d2_qa").select(X.document(F.col("answer")).alias("a"), X.inline(F.col("question")).alias("q"))
+    flags = F.concat(dependence.reference_flags(F.col("a"), F.col("q")), dependence.risk_flags(F.lower("a"), F.lower("q")))
+    return relations.counts(rows.select(flags.alias("flags")), "flags")
+
+
+@query()
+def document_kinds(spark, sf_dir):
+    rows = table(spark, sf_dir, "d4_documents").select("document_id", X.inline(F.col("title")).alias("t"), X.document(F.col("text")).alias("b"))
+    rows = rows.withColumn("s", dependence.process_signals(F.col("b")))
+    return rows.select("document_id", "s.*", dependence.has_process(F.col("s")).alias("process"), dependence.document_kind(F.col("t"), F.col("b"), F.col("s")).alias("kind")).distinct()
+
+
+@query()
+def recalled_texts(spark, sf_dir):
+    """Fault texts without a process, decided on by an offline model: codes of refused decisions and accepted ones."""
+    rows = table(spark, sf_dir, "d3_fault_texts").where("text is not null").groupBy(F.col("evidence_source_id").alias("id")).agg(F.min("text").alias("text"))
+    answer = {"decision": "recall", "label": "diagnostic_case", "confidence": "high", "unsafe_operation": False, "reason": "offline", "supporting_quotes": ["诊断仪读出故障码"], "action_quotes": [], "finding_quotes": [], "verification_quotes": []}
+    done = recall.decide(rows, None, generation.constant_provider(answer), "d3", "offline", "1", ["diagnostic_case", "other"], ["diagnostic_case"])
+    return done.groupBy("accepted", F.array_join("errors", ",").alias("errors")).agg(F.count("*").alias("n"))
+
+
+@query()
+def text_vectors(spark, sf_dir):
+    """Vectors of the queries by the hashing backend: dimensions and mean norm per split."""
+    rows = table(spark, sf_dir, "d1_queries").select("split", X.key(F.col("query")).alias("q")).distinct()
+    vectors = embedding.embed(rows, "q", embedding.hashing_encoder(64))
+    return vectors.groupBy("split").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim"), F.round(F.avg(A.cosine(F.col("vector"), F.col("vector"))), 4).alias("norm"))

@@ -1,0 +1,116 @@
+"""Dependence flags, risk wording, process signals, decisions, vectors."""
+
+import json
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from loomwright.functions import dependence as D, text as X
+from loomwright.operators import embedding, generation, recall
+
+LONG = "Check the voltage at the relay and measure the resistance of the harness before you replace anything, because a weak ground gives the same symptom. "
+
+REFERENCES = [
+    # answer, question, flags that must be there, flags that must not
+    ("You will figure out the value.", "", [], ["has_image_reference"]),
+    (LONG * 2 + "More at https://a.b/c", "", ["has_external_link"], ["needs_external_link"]),
+    ("See URL https://a.b for the complete procedure", "", ["has_external_link", "needs_external_link"], []),
+    ("It is a clip.", "What is this part in the picture?", ["has_image_reference", "needs_image"], []),
+    (LONG * 2, "Is it out of the picture to drive on?", [], ["has_image_reference"]),
+    (LONG * 2 + "As noted in a comment.", "", ["has_comment_reference"], ["needs_comment"]),
+    ("See the comments below.", "", ["has_comment_reference", "needs_comment"], []),
+    ("See the other answer.", "", ["has_other_answer_reference", "needs_other_answer"], []),
+    ("从图中可以看到插头松动。", "", ["has_image_reference", "needs_image"], []),
+    (None, None, [], ["needs_image", "has_external_link"]),
+]
+
+
+@pytest.mark.parametrize("k", range(len(REFERENCES)))
+def test_references(spark, k):
+    answer, question, yes, no = REFERENCES[k]
+    df = spark.createDataFrame([(answer, question)], "a string, q string")
+    got = df.select(D.reference_flags(X.document(F.col("a")), X.inline(F.col("q")))).first()[0]
+    assert set(yes) <= set(got) and not set(no) & set(got) and got == sorted(set(got))
+
+
+RISKS = [
+    ("the oil filter bypass valve is open", "", {"has_bypass_term"}),
+    ("", "how do i bypass the parking brake video interlock", {"has_bypass_term", "risk_bypass", "risk_brake"}),
+    ("never do that, it is dangerous", "can i disable the airbag", {"risk_airbag", "risk_bypass"}),
+    ("屏蔽线接地不良", "", set()),
+    ("你可以短接高压互锁。", "", {"has_bypass_term", "risk_bypass"}),
+    ("raise it on a jack stand", None, {"risk_lifting"}),
+]
+
+
+@pytest.mark.parametrize("answer,question,want", RISKS)
+def test_risks(spark, answer, question, want):
+    df = spark.createDataFrame([(answer, question)], "a string, q string")
+    assert set(df.select(D.risk_flags(F.col("a"), F.col("q"))).first()[0]) == want
+
+
+PROCESSES = [
+    ("标题", "故障诊断:1、检查线束。2、更换继电器。3、路试,故障排除。一辆车进厂。", True, "case_evidence"),
+    ("标题", "故障诊断:1、检查线束。2、更换继电器。3、确认,恢复正常。", True, "procedure_evidence"),
+    ("故障诊断 维修过程", "故障诊断 维修过程", False, "technical_pt"),
+    ("电池保养", "定期清洁。", False, "maintenance_qa"),
+    (None, None, False, "technical_pt"),
+    ("x", "checked the relay, replaced it and found a burnt pin, now fixed", True, "procedure_evidence"),
+]
+
+
+def test_processes(spark):
+    df = spark.createDataFrame([(i, t, b) for i, (t, b, _, _) in enumerate(PROCESSES)], "i int, t string, b string")
+    df = df.withColumn("b", X.document(F.col("b"))).withColumn("s", D.process_signals(F.col("b")))
+    got = df.select("i", D.has_process(F.col("s")).alias("p"), D.document_kind(F.col("t"), F.col("b"), F.col("s")).alias("k")).orderBy("i").collect()
+    assert [(r["p"], r["k"]) for r in got] == [(p, k) for *_, p, k in PROCESSES]
+
+
+def test_decisions(spark):
+    base = {"decision": "recall", "label": "case", "confidence": "high", "unsafe_operation": False, "supporting_quotes": ["“量电压” 12V"], "action_quotes": []}
+    texts = {
+        "good": base,
+        "unsafe": base | {"unsafe_operation": True},
+        "invented": base | {"supporting_quotes": ["量电压 13V"]},
+        "weak": base | {"confidence": "low"},
+        "bare": base | {"supporting_quotes": []},
+        "label": base | {"label": "other"},
+        "odd": base | {"decision": "maybe", "label": "none"},
+    }
+    rows = [(k, '测"量电压" 12V 正常') for k in [*texts, "broken", "known"]]
+    df = spark.createDataFrame(rows, "id string, text string")
+    order = {t: json.dumps(v, ensure_ascii=False) for t, v in texts.items()}
+    cache = df.where("id = 'known'").select("id", recall.fingerprint("d", F.col("id"), F.col("text"), "m", "1").alias("fingerprint"), F.lit(json.dumps(base, ensure_ascii=False)).alias("response"))
+    cache = cache.union(cache.select("id", F.lit("old"), F.lit("{}")))
+
+    def run(key):
+        provider = generation.constant_provider({}) if key is None else (lambda prompts: [order.get(key, "no json")] * len(prompts))
+        got = recall.decide(df.where(F.col("id").isin(key, "known")), cache, provider, "d", "m", "1", ["case", "other"], ["case"])
+        return {r["id"]: (r["errors"], r["accepted"], r["cached"]) for r in got.collect()}
+
+    assert run("good") == {"good": ([], True, False), "known": ([], True, True)}
+    assert run("unsafe")["unsafe"][0] == ["unsafe_recall"]
+    assert run("invented")["invented"][0] == ["unsupported_supporting_quotes"]
+    assert run("weak")["weak"][0] == ["recall_requires_high_confidence"]
+    assert run("bare")["bare"][0] == ["recall_missing_support"]
+    assert run("label")["label"][0] == ["invalid_recall_label"]
+    assert run("odd")["odd"][0] == ["invalid_decision", "invalid_label"]
+    assert run("broken")["broken"] == (["invalid_json"], False, False)
+
+
+def test_selection(spark):
+    df = spark.createDataFrame([(["e1", " x ", "", "e1"], ["e1", "e2"], "matched"), (["e1"], ["e1"], "reject"), (None, ["e1"], "matched")], "s array<string>, c array<string>, r string")
+    got = [tuple(r[0]) for r in df.select(recall.selection(F.col("s"), F.col("c"), F.col("r"), ["reject"])).collect()]
+    assert got == [(["e1", "e1"], ["x"], []), ([], [], ["e1"]), ([], [], [])]
+
+
+def test_vectors(spark):
+    df = spark.createDataFrame([(1, "检查 p0300"), (2, None), (3, ""), (4, "检查 p0300")], "id int, t string")
+    got = {r["id"]: r["vector"] for r in embedding.embed(df, "t", embedding.hashing_encoder(32)).collect()}
+    assert got[2] is None and sum(map(abs, got[3])) == 0 and got[1] == got[4] and np.linalg.norm(got[1]) == pytest.approx(1, abs=1e-5)
+    empty = spark.createDataFrame([], "fingerprint string, vector array<float>")
+    first = embedding.embed_missing(df, empty, "t", embedding.hashing_encoder(8), "h")
+    assert first.count() == 2
+    again = embedding.embed_missing(df, first, "t", lambda texts: (_ for _ in ()).throw(AssertionError("asked again")), "h")
+    assert again.count() == 2
