@@ -130,6 +130,9 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     """target_name, bin, id, part, start, tokens: every part of every text in exactly one window per target."""
     spark = docs.sparkSession
     goals = {r[0]: int(r[1]) for r in targets.where(F.col(capacity_col) > 0).select(name_col, capacity_col).distinct().collect()}
+    id_kind = docs.schema[id_col].dataType.simpleString()
+    if not goals:
+        return spark.createDataFrame([], f"bin long, target_name string, id {id_kind}, part int, start long, tokens long")
     sizes = stored(tokenizer_sizes(docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", cfg.tokenizer), "pack-sizes")
     windows = F.array(*[F.struct(F.lit(n).alias("target_name"), F.lit(c).cast("long").alias("capacity")) for n, c in goals.items()])
     items = sizes.select("id", "tokens", F.explode(windows).alias("w")).select("id", "tokens", "w.*")
@@ -148,7 +151,7 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     keys, places = [], []
     for t, name in enumerate(order):
         for size, lo, _, first in plan(plans.get(name, {}), goals[name]):
-            keys.append((t << 56) | (size << 40) | lo if lo < 1 << 40 else None)
+            keys.append((t << 56) | (size << 40) | lo)
             places.append((lo, first))
     by = np.argsort(np.array(keys, dtype=np.int64), kind="stable")
     table = spark.sparkContext.broadcast((np.array(keys, dtype=np.int64)[by], np.array(places, dtype=np.int64).reshape(-1, 2)[by]))
@@ -171,8 +174,7 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
             out = {c: batch.column(c) for c in ("target_name", "id", "part", "start", "tokens")}
             yield pa.RecordBatch.from_arrays([pa.array(bins), *out.values()], names=["bin", *out])
 
-    kind = ranked.schema["id"].dataType.simpleString()
-    return ranked.mapInArrow(place, f"bin long, target_name string, id {kind}, part int, start long, tokens long")
+    return ranked.mapInArrow(place, f"bin long, target_name string, id {id_kind}, part int, start long, tokens long")
 
 
 def fill_report(assignment: DataFrame, targets: DataFrame) -> DataFrame:
