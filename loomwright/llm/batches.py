@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+
+from ..session import spread  # noqa: F401  (shared by the operators here)
 
 #: Code points that are worked on at once; numpy needs some 60 bytes for each.
 SLICE_CHARS = 1 << 20
@@ -30,14 +31,3 @@ def lists(values: np.ndarray) -> pa.ListArray:
     """A two-dimensional array as a list column."""
     n, k = values.shape
     return pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * k, pa.array(values.ravel()))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a small input comes in fewer splits than there are cores; larger inputs stay as they are.
-
-    Frames that already shuffle are left alone: asking for their partitions would run them.
-    """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
