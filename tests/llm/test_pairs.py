@@ -1,6 +1,7 @@
 """Near-duplicates and cross-split overlaps against brute force."""
 
 import itertools
+import random
 
 import pytest
 
@@ -91,3 +92,37 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a int, b int")
     got = {r["node"]: r["component"] for r in connected_components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def edited(base, seed, every, at=None):
+    """The base with one sign substituted in each stretch of ``every``."""
+    r = random.Random(seed)
+    out = list(base)
+    for k in range(0, len(base) - every, every):
+        out[k + (r.randrange(every) if at is None else at)] = chr(0x5000 + r.randrange(4000))
+    return "".join(out)
+
+
+def family(spark, base, variants):
+    rows = [("base", base, "train", None)] + [(f"v{k:03d}", v, "test", None) for k, v in enumerate(variants)]
+    records, links = cs.cross_split(frame(spark, rows))
+    found = {(r["document_id_a"], r["document_id_b"]) for r in cs.overlapping_pairs(records, links).collect()}
+    want = {("base", x) for x, text, _, _ in rows[1:] if len(runs(base)[1] & runs(text)[1]) >= 0.6 * len(runs(base)[1] | runs(text)[1])}
+    return found, want
+
+
+def test_cross_split_family(spark):
+    """The unedited passages of a large family are frequent, the edited ones rare."""
+    r = random.Random(7)
+    base = "".join(chr(0x4E00 + r.randrange(400)) for _ in range(1500))
+    found, want = family(spark, base, [edited(base, k, 37) for k in range(200)])
+    assert len(want) > 150 and found == want
+
+
+def test_cross_split_even_edits(spark):
+    """Edits at even distances, wherever they start; repeated parts; short texts."""
+    r = random.Random(8)
+    base = "".join(chr(0x4E00 + r.randrange(400)) for _ in range(1500))
+    for text in (base, base[:700] * 2 + base[:300], base[:90], base[:40] * 20):
+        found, want = family(spark, text, [edited(text, k, every, k % every) for every in (34, 36, 44) for k in range(0, every, 3)])
+        assert found == want and (want or len(text) == 800)
