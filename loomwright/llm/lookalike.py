@@ -245,14 +245,21 @@ def fold(texts: list[str | None], mode: str = "runs") -> tuple[np.ndarray, np.nd
     texts = ["" if t is None else t for t in texts]
     table = _table(mode)
     raw, bounds = codes(texts)
-    out = table[np.minimum(raw, _SIZE - 1)]
+
+    def gathered(raw: np.ndarray) -> np.ndarray:
+        out = table[np.minimum(raw, _SIZE - 1)]
+        if len(raw) and raw.max() >= _SIZE:
+            out[raw >= _SIZE] = SLOW
+        return out
+
+    out = gathered(raw)
     hard = np.unique(np.searchsorted(bounds, np.flatnonzero(out == SLOW), side="right") - 1)
     if len(hard):
         texts = list(texts)
         for i in hard:
             texts[i] = same_look(texts[i])
         raw, bounds = codes(texts)
-        out = table[np.minimum(raw, _SIZE - 1)]
+        out = gathered(raw)
         rest = np.flatnonzero(out == SLOW)  # signs that the scalar form keeps
         if len(rest):
             distinct, where = np.unique(raw[rest], return_inverse=True)

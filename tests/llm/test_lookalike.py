@@ -77,3 +77,13 @@ def test_records(spark):
     forms = consistent_forms(df, ["text"], ["literals"])
     assert forms.columns == df.columns and forms.where("document_id = 'b'").first()["text"] == "Bolt 12 km"
     assert same_look_records(df.limit(0)).count() == 0
+
+
+def test_signs_beyond_the_table():
+    """Late ideographs stay apart, tags and late variation selectors follow the scalar form."""
+    texts = ["a\U00030000b", "a\U00031350b", "a\U000e0041b", "中\U000e0100文", "\U0010fffd"]
+    assert same_looks(texts) == [same_look(t) for t in texts]
+    assert same_looks(texts[:3]) == ["a\U00030000b", "a\U00031350b", "ab"]
+    for mode in ("runs", "alnum"):
+        x, bounds = fold(texts[:3], mode)
+        assert "".join(map(chr, x)) == "a\U00030000ba\U00031350bab" and bounds.tolist() == [0, 3, 6, 8]
