@@ -148,13 +148,18 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     for name, size, n in counts.groupBy("target_name", "size").agg(F.sum("n")).collect():  # at most the sum of the capacities
         plans.setdefault(name, {})[size] = n
     order = sorted(goals)
+    groups = sorted((t, size) for t, name in enumerate(order) for size in plans.get(name, {}) if size > 0)
+    if len(groups) >= 1 << 23:
+        raise ValueError("too many different sizes for the keys of the plan")
+    number_of = {g: k for k, g in enumerate(groups)}
     keys, places = [], []
     for t, name in enumerate(order):
         for size, lo, _, first in plan(plans.get(name, {}), goals[name]):
-            keys.append((t << 56) | (size << 40) | lo)
+            keys.append((number_of[t, size] << 40) | lo)
             places.append((lo, first))
     by = np.argsort(np.array(keys, dtype=np.int64), kind="stable")
-    table = spark.sparkContext.broadcast((np.array(keys, dtype=np.int64)[by], np.array(places, dtype=np.int64).reshape(-1, 2)[by]))
+    groups = np.array([(t << 48) | size for t, size in groups], dtype=np.int64)
+    table = spark.sparkContext.broadcast((groups, np.array(keys, dtype=np.int64)[by], np.array(places, dtype=np.int64).reshape(-1, 2)[by]))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("target_name", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("target_name", "size", "salt", before.alias("before"))
     rank = F.row_number().over(Window.partitionBy("target_name", "size", "salt").orderBy("id", "part")) - 1
@@ -163,11 +168,12 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     ranked = ranked.select("target_name", "id", "part", "start", F.col("size").alias("tokens"), (F.col("rank") + F.col("before")).alias("rank"), number[F.col("target_name")].alias("t"))
 
     def place(batches):
-        keys, where = table.value
+        groups, keys, where = table.value
         for batch in batches:
             t, size, rank = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("t", "tokens", "rank"))
             if len(keys):
-                k = np.searchsorted(keys, (t << 56) | (size << 40) | rank, side="right") - 1
+                group = np.searchsorted(groups, (t << 48) | size)
+                k = np.searchsorted(keys, (group << 40) | rank, side="right") - 1
                 bins = np.where(size > 0, where[np.maximum(k, 0), 1] + rank - where[np.maximum(k, 0), 0], 0)
             else:
                 bins = np.zeros(len(t), dtype=np.int64)

@@ -118,3 +118,15 @@ def test_pack(spark, invent):
         assert set(part["id"]) == {i for i, t in rows if t is not None}
     report = {r["target_name"]: r for r in packing.fill_report(got, targets.dropna()).collect()}
     assert report["s"]["fill"] > 0.9
+
+
+def test_pack_large_windows(spark, monkeypatch):
+    """Sizes of 65,536 tokens and more beside a second target."""
+    sizes = [(i, 65_536 + i % 3 if i % 2 else 10 + i % 5) for i in range(40)]
+    monkeypatch.setattr(packing, "tokenizer_sizes", lambda df, *_: spark.createDataFrame(sizes, "id long, tokens long"))
+    docs = spark.createDataFrame([(i, "x") for i, _ in sizes], "doc_id long, text string")
+    targets = spark.createDataFrame([("a", 70_000), ("b", 200_000), ("c", 512)], "target_name string, capacity_tokens int")
+    out = packing.pack(docs, targets).toPandas()
+    for name, cap in (("a", 70_000), ("b", 200_000), ("c", 512)):
+        filled = out[out["target_name"] == name].groupby("bin")["tokens"].sum()
+        assert filled.max() <= cap and filled.sum() == sum(n for _, n in sizes) and sorted(filled.index) == list(range(len(filled)))
