@@ -3,7 +3,7 @@
 Fingerprints are hashes of windows of ``window`` characters, thinned by winnowing
 so that every span of ``span`` characters or more keeps at least one fingerprint
 that depends on nothing but the span itself.  The index is a list of immutable
-runs, each sorted by fingerprint; a new batch becomes a run, is merge-joined with
+runs, each sorted by fingerprint; a new batch becomes a run, is hash-joined with
 the runs before it, the matches are verified on the text, and once there are more
 than ``fanout`` runs they are compacted into one.  A later batch therefore only
 reads fingerprints, never old texts that it doesn't touch.
