@@ -192,13 +192,13 @@ def jaccard(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(work, "a long, b long, similarity double")
 
 
-def verified(df: DataFrame, members: DataFrame, pairs: DataFrame, id_col: str, text_col: str, cfg: NearDuplicateConfig) -> DataFrame:
-    """The pairs of classes whose exact similarity reaches the threshold."""
+def verified(df: DataFrame, members: DataFrame, pairs: DataFrame, id_col: str, text_col: str, cfg: NearDuplicateConfig, compare=jaccard) -> DataFrame:
+    """The pairs of classes whose exact similarity reaches the threshold; ``compare`` turns a, b, ta, tb into a, b, similarity and more."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
     ids = stored(members.join(used, "k1").groupBy("k1").agg(F.min("id").alias("id")), "nd-ids")
     texts = stored(texts_of(df, ids, id_col, text_col, cfg.broadcast_ids), "nd-texts")
     both = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return jaccard(both).where(F.col("similarity") >= cfg.threshold)
+    return compare(both).where(F.col("similarity") >= cfg.threshold)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "document_id", text_col: str = "text", order: str | None = "extracted_at", cfg: NearDuplicateConfig = NearDuplicateConfig()) -> tuple[DataFrame, DataFrame]:

@@ -124,6 +124,12 @@ def p1_found(spark, sf_dir: str) -> DataFrame:
     return rows.select("split", "document_id_a", "document_id_b")
 
 
+@query
+def p1_classes(spark, sf_dir: str) -> DataFrame:
+    """The same links between classes of equal texts, with their numbers of records."""
+    return cs.overlapping_classes(*cs.cross_split(read(spark, sf_dir, "d4_documents")))
+
+
 @query
 def p1_report(spark, sf_dir: str) -> DataFrame:
     """Evaluation records found in training texts, by split and source collection."""

@@ -126,3 +126,23 @@ def test_cross_split_even_edits(spark):
     for text in (base, base[:700] * 2 + base[:300], base[:90], base[:40] * 20):
         found, want = family(spark, text, [edited(text, k, every, k % every) for every in (34, 36, 44) for k in range(0, every, 3)])
         assert found == want and (want or len(text) == 800)
+
+
+def test_cross_split_report(spark, invent):
+    """Coverage is the union over all training texts; copies are counted, not expanded."""
+    base = invent(1, 900)
+    rows = [("e1", base, "test", None), ("e2", base, "test", None), ("t1", base[:700], "train", None), ("t2", base[200:], "train", None), ("t3", base[200:], "train", None), ("e3", invent(2, 300), "validation", None)]
+    df = frame(spark, rows)
+    records, links = cs.cross_split(df)
+    classes = {(r["records"], r["training_records"]) for r in cs.overlapping_classes(records, links).collect()}
+    assert classes == {(2, 1), (2, 2)}
+    report = {r["split"]: r for r in cs.overlap_report(df, records, links, cs.F.lit("s")).collect()}
+    assert (report["test"]["records"], report["test"]["exact"], report["test"]["near"]) == (2, 0, 2)
+    assert report["test"]["mean_coverage"] == 1.0 and report["validation"]["mean_coverage"] == 0.0
+
+
+def test_cross_split_many_shards(spark, rows):
+    cfg = cs.CrossSplitConfig(shard_passages=40, kept_shards=1, scan_signs=500, postings_at_once=10)
+    df = frame(spark, rows)
+    one, many = (sorted(map(tuple, cs.overlapping_pairs(*cs.cross_split(df, cfg=c)).collect())) for c in (cs.CrossSplitConfig(), cfg))
+    assert one == many and len(one) > 3
