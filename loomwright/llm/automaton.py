@@ -52,7 +52,7 @@ class Automaton:
     @classmethod
     def build(cls, x: np.ndarray, at: np.ndarray, length: int) -> tuple["Automaton", np.ndarray]:
         """The automaton of the passages of ``x`` that begin at ``at``, and the pattern of each of them."""
-        signs = np.unique(x[(at[:, None] + np.arange(length)).ravel()]) if len(at) else np.zeros(0, dtype=x.dtype)
+        signs = np.unique(np.concatenate([x[:0], *(np.unique(x[at + d]) for d in range(length))]))
         code = np.zeros(0x110000, dtype=np.int64)
         code[signs] = np.arange(1, len(signs) + 1)
         width = len(signs) + 1

@@ -92,8 +92,39 @@ def test_leaks(spark, invent):
                 want.add((d, i))
     left = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as term", "2 as item")
     right = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as size")
-    rows = leakage.leaks(left, right).collect()
+    everything = leakage.leaks(left, right).collect()
+    rows = [r for r in everything if r["match"] != "proximity"]
     assert len(rows) == len({(r["doc"], r["item"]) for r in rows}) and {(r["doc"], r["item"]) for r in rows} == want
     assert {(100, 3), (101, 4), (105, 92), (106, 6)} <= want
-    assert {r["item"]: r["whole"] for r in rows if r["doc"] == 100} == {3: True}
+    assert {r["item"]: r["match"] for r in rows if r["doc"] == 100} == {3: "whole"}
     assert leakage.leaks(left.limit(0), right).count() == 0 and leakage.leaks(left, right.limit(0)).count() == 0
+
+
+def test_short_items_change_nothing_else(spark, invent):
+    items = [(i, invent(500 + i, 60 + i)) for i in range(4)]
+    docs = [(i, invent(i, 300) + (items[i % 4][1] if i < 6 else "") + ("油 K9 表" if i == 7 else "")) for i in range(12)]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    index = leakage.PositionalIndex.build(left)  # one index for both sets of items
+    right = lambda extra: spark.createDataFrame(items + extra, "item_id long, text string")
+    got = [sorted(map(tuple, leakage.leaks(left, right(extra), index=index).collect())) for extra in ([], [(90, "K9"), (91, "k9表q")])]
+    assert got[0] == [r for r in got[1] if r[1] < 90] and len(got[0]) >= 6
+    plain = {d: "".join(c for c in same_look(t).lower() if c.isalnum()) for d, t in docs}
+    assert {r[0] for r in got[1] if r[1] == 90} == {d for d, t in plain.items() if "k" in t or "9" in t}
+    assert [(r[0], r[2], r[5]) for r in got[1] if r[1] == 91] == [(7, 3, "passage")]
+
+
+def test_proximity(spark, invent):
+    """All the words of an item near each other, in pieces too short for a passage."""
+    item = invent(700, 120)
+    pieces = [item[k : k + 40] for k in range(0, 120, 40)]
+    docs = [(1, invent(1, 200) + "甲".join(reversed(pieces)) + invent(2, 200)), (2, invent(3, 900).join(pieces)), (3, invent(4, 500)), (4, item)]
+    rows = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r["doc"]: r["match"] for r in rows} == {1: "proximity", 4: "whole"}
+    assert {r["doc"]: r["near"] for r in rows}[4] == 1.0
+
+
+def test_closest():
+    off, pos = np.array([0, 5, 9, 5, 0]), np.array([100, 50, 52, 110, 112])
+    assert leakage.closest(off, pos, 13) == 2 and leakage.closest(off, pos, 70) == 3 and leakage.closest(off[:0], pos[:0], 5) == 0
+    x, y = (np.array([ord(c) for c in t]) for t in ("xxabcdyy", "zabcde"))
+    assert leakage.longest_equal(x, y, 1) == 4 and leakage.longest_equal(x, y, 99) == 0
