@@ -52,6 +52,8 @@ class LeakConfig:
     span: float = 2.0
     #: terms of the items up to this many are sent to the postings, more meet them in a shuffle
     broadcast_terms: int = 200_000
+    #: candidates up to this many bytes are sent to the texts, more meet them in a shuffle
+    broadcast_bytes: int = 16 << 20
 
 
 def _terms(df: DataFrame, id_col: str, text_col: str, cfg: LeakConfig) -> DataFrame:
@@ -155,7 +157,8 @@ def closest(off: np.ndarray, pos: np.ndarray, width: int) -> int:
 
 def _weighed(docs: DataFrame, places: DataFrame, doc_id: str, text_col: str, cfg: LeakConfig) -> DataFrame:
     """doc, item, longest, near of the candidates, on the texts themselves."""
-    few = places.count() <= cfg.broadcast_terms // 20
+    bulk = places.agg(F.coalesce(F.sum(F.aggregate("places", F.lit(32), lambda n, p: n + 32 + F.length(p["folded"]) * 3 + F.size(p["at"]) * 16)), F.lit(0))).first()[0]
+    few = bulk <= cfg.broadcast_bytes
     kind_d, kind_i = places.schema["doc"].dataType.simpleString(), places.schema["places"].dataType.elementType["item"].dataType.simpleString()
     source = docs.where(F.col(text_col).isNotNull()).select(F.col(doc_id).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(places) if few else places, "doc")
 
