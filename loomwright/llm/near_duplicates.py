@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import stored
 from .batches import lists, spread, text_slices
 from .frames import nonblank
-from .grams import inside, mix, text_hash, window_hashes
+from .grams import distinct, inside, mix, text_hash, window_hashes
 from .lookalike import fold
 
 RUN = 8
@@ -172,7 +172,7 @@ def folded_runs(texts: list[str]) -> list[np.ndarray]:
     """Distinct run hashes of each text, folded and hashed together."""
     x, bounds = fold(texts)
     h = window_hashes(x, RUN)
-    return [np.unique(h[a : max(a, b - RUN + 1)]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return [distinct(h[a : max(a, b - RUN + 1)]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def jaccard(pairs: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def jaccard(pairs: DataFrame) -> DataFrame:
                 tb = batch.column("tb").slice(rows.start, rows.stop - rows.start).to_pylist()
                 p, q = (folded_runs(texts) for texts in (ta, tb))
                 for x, y in zip(p, q):
-                    both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                    both = len(x) + len(y) - len(distinct(np.concatenate([x, y])))
                     out.append(both / max(1, len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 

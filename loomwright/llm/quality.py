@@ -2,9 +2,11 @@
 
 Counts and ratios of the text without its title line: length against the stored
 count, words, signs, lines, sentence ends, common words; repetition (shares of
-duplicate lines and paragraphs, share of the characters that the most frequent
-run of characters covers); shares of lines shaped like rows of columns or like
-list entries.  :func:`kind_of` joins them by rules.
+duplicate lines and paragraphs, share of the characters that the copies of the most
+frequent run of characters cover, longest unit that repeats); shares of lines shaped
+like rows of columns or like list entries.  :func:`kind_of` joins them by rules:
+repeated short entries are a list however they are strung together, repeated sentences
+are boilerplate, and duplicate lines lower what it takes to be a list.
 
 Null text gives a row of nulls and no kind; blank text and a lone title give
 zeros and the kind ``prose`` (nothing speaks against it).
@@ -109,14 +111,18 @@ def odd_letters(body: str) -> int:
 
 
 def dominant_runs(x: np.ndarray, bounds: np.ndarray, n: int = 8) -> np.ndarray:
-    """For each text the share of its characters that the copies of its most frequent run of ``n`` characters cover; 0 where no run repeats."""
+    """For each text the share of its characters that the copies of its most frequent run of ``n`` characters cover, overlapping ones once; 0 where no run repeats."""
     h, out = window_hashes(x, n), np.zeros(len(bounds) - 1)
     for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:] - n + 1)):
         if b - a >= 3 * n:
-            w = np.sort(h[a:b])
+            order = np.argsort(h[a:b], kind="stable")
+            w = h[a:b][order]
             starts = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1], [True]]))
-            most = np.diff(starts).max()
-            out[i] = min(1.0, most * n / (b + n - 1 - a)) if most > 1 else 0.0
+            sizes = np.diff(starts)
+            most = int(np.argmax(sizes))
+            if sizes[most] > 1:
+                at = order[starts[most] : starts[most + 1]]  # ascending
+                out[i] = (np.minimum(np.diff(at), n).sum() + n) / (b + n - 1 - a)
     return out
 
 
@@ -223,8 +229,13 @@ def stats(texts: list[str | None], stored: list[int | None]) -> list[tuple]:
     return result
 
 
+def repeated(s: dict) -> bool:
+    """Most of the text is said more than once: lines, paragraphs, or one run of characters."""
+    return s["n_lines"] >= 4 and s["dup_lines"] >= 0.5 or s["dup_paragraphs"] >= 0.5 or s["top_run"] >= 0.4
+
+
 def kind_of(s: dict) -> str:
-    """prose, list, table or junk."""
+    """prose, boilerplate, list, table or junk."""
     if s["n_lines"] == 0:
         return "prose"
     if s["odd_share"] >= 0.15 and s["common_ratio"] < 0.04 and s["row_share"] + s["entry_share"] < 0.3:
@@ -233,11 +244,22 @@ def kind_of(s: dict) -> str:
         return "junk"
     if s["row_share"] >= 0.5 and s["row_share"] >= s["entry_share"]:
         return "table"
-    if s["entry_share"] >= 0.6 or s["entry_share"] + s["row_share"] >= 0.75:
+    if s["entry_share"] >= 0.6 - 0.3 * s["dup_lines"] or s["entry_share"] + s["row_share"] >= 0.75:
         return "list"
+    if repeated(s):  # short units are entries, longer ones sentences
+        return "list" if s["n_chars"] <= 24 * (s["n_lines"] + s["sentence_ends"]) else "boilerplate"
     return "prose"
 
 
+def agreement(rows: DataFrame, labels: DataFrame, id_col: str = "document_id", kind_col: str = "kind") -> DataFrame:
+    """verdict, kind, records: the kinds found against the majority of the reviewers (ties count for neither), for precision and recall."""
+    votes = labels.where(F.col(id_col).isNotNull() & F.col(kind_col).isNotNull()).groupBy(F.col(id_col).alias("id"), F.col(kind_col).alias("verdict")).agg(F.count("*").alias("n"))
+    best = votes.groupBy("id").agg(F.max("n").alias("n"))
+    clear = votes.join(best, ["id", "n"]).groupBy("id").agg(F.min("verdict").alias("verdict"), F.count("*").alias("tied")).where("tied = 1")
+    found = rows.where("kind is not null").groupBy("id").agg(F.min("kind").alias("kind"))
+    return clear.join(found, "id").groupBy("verdict", "kind").agg(F.count("*").alias("records"))
+
+
 def quality(df: DataFrame, id_col: str = "document_id", text_col: str = "text", count_col: str = "char_count") -> DataFrame:
     """id and the statistics of every row."""
     source = spread(df).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(count_col).cast("long").alias("stored"))

@@ -10,7 +10,7 @@ from .forms import consistent_forms, same_look_records
 from .frames import collection, nonblank, read
 from .leakage import leaks
 from .packing import fill_report, pack
-from .quality import quality
+from .quality import agreement, quality
 from .shared_spans import shared_spans
 from .splitting import SplitConfig, split_texts
 from .tokens import language_tag, token_budget
@@ -92,7 +92,14 @@ def p6_quality(spark, sf_dir: str) -> DataFrame:
 @query
 def p6_found(spark, sf_dir: str) -> DataFrame:
     rows = quality(read(spark, sf_dir, "d4_documents").where(nonblank()))
-    return rows.groupBy(F.col("id").alias("document_id")).agg(F.min("kind").alias("kind")).where("kind <> 'prose'")
+    return rows.groupBy(F.col("id").alias("document_id")).agg(F.min("kind").alias("kind")).where("kind in ('list', 'table', 'junk')")
+
+
+@query
+def p6_agreement(spark, sf_dir: str) -> DataFrame:
+    """Kinds against the reviewers' majority."""
+    df = read(spark, sf_dir, "d4_documents").where(nonblank())
+    return agreement(quality(df), read(spark, sf_dir, "d4_labels"))
 
 
 @query

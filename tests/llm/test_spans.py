@@ -50,13 +50,41 @@ def test_shared_spans(spark, invent):
     rows = make(invent)
     df = frame(spark, rows)
     want = brute_shared(rows, 200)
-    for cfg in (ss.SpanConfig(), ss.SpanConfig(batches=4, fanout=1, group_limit=1, broadcast_ids=0)):
+    for cfg in (ss.SpanConfig(), ss.SpanConfig(batches=4, fanout=1, group_limit=1, broadcast_bytes=0, hot_rows=4)):
         got = {r["doc"]: r["shared"] for r in ss.shared_spans(df, cfg=cfg).collect()}
         assert got == want
     assert want[6] == 0 and want[51] == 0 and want[3] >= 200
     assert ss.shared_spans(df.limit(0)).count() == 0
 
 
+def test_kept_index(spark, invent, tmp_path):
+    """A second session's batch meets the history by a merge join, without shuffling or sorting it."""
+    rows = [r for r in make(invent) if r[0] is not None]
+    old, new = frame(spark, [r for r in rows if r[0] % 3]), frame(spark, [r for r in rows if r[0] % 3 == 0])
+    folder = f"file://{tmp_path}/index"
+    first = ss.FingerprintIndex.open(spark, folder, buckets=4)
+    assert {r["doc"]: r["shared"] for r in ss.shared_spans(old, index=first).collect()} == brute_shared([r for r in rows if r[0] % 3], 200)
+    first.close()
+    again = ss.FingerprintIndex.open(spark, folder)
+    assert again.runs == first.runs and again.buckets == 4
+    want = {d: n for d, n in brute_shared(rows, 200).items() if d % 3 == 0}
+    assert {r["doc"]: r["shared"] for r in ss.shared_spans(new, index=again, history=old).collect()} == want
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with ss._sorted_buckets(spark):
+            last = ss.FingerprintIndex.open(spark, folder)
+            run = last.runs.pop()
+            plan = last.matches(run)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ExistenceJoin" in plan and "Exchange" not in plan, plan
+    lines, history = plan.split("\n"), again.runs[0]["name"]
+    for i, line in enumerate(lines):
+        if history in line:  # between the scan of the history and its join nothing sorts or groups
+            above = next(k for k in range(i, -1, -1) if "SortMergeJoin" in lines[k])
+            assert not any("Sort [" in x or "Aggregate" in x for x in lines[i - 3 : i] if lines.index(x) > above), plan
+
+
 def test_winnowing_keeps_every_span(invent):
     text = invent(3, 3000)
     x = np.array([ord(c) for c in text], dtype=np.uint32)
