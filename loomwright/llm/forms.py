@@ -14,14 +14,20 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .batches import spread, text_slices
 from .frames import nonblank
 from .grams import text_hash
-from .lookalike import codes, fold, same_look, same_looks
+from .lookalike import codes, fold, same_look, same_looks, script_report
 
 
-def consistent_forms(df: DataFrame, text_cols: list[str], list_cols: list[str]) -> DataFrame:
-    """The frame with the named columns in their consistent form; all other columns as they are."""
+def consistent_forms(df: DataFrame, text_cols: list[str], list_cols: list[str], report: str | None = None) -> DataFrame:
+    """The frame with the named columns in their consistent form; all other columns as they are.
+
+    ``report`` names a text column whose tokens are looked at before they change: ``mixed_script`` counts those whose
+    letters have no script in common, ``whole_script`` those of one other script that Latin can spell as a whole.
+    """
     def work(batches):
         for batch in batches:
             arrays = {n: batch.column(n) for n in batch.schema.names}
+            if report:
+                mixed, whole_script = zip(*map(script_report, batch.column(report).to_pylist())) if batch.num_rows else ((), ())
             for c in text_cols:
                 out = []
                 whole = batch.column(c).to_pylist()
@@ -31,10 +37,15 @@ def consistent_forms(df: DataFrame, text_cols: list[str], list_cols: list[str])
             for c in list_cols:
                 values = batch.column(c).to_pylist()
                 arrays[c] = pa.array([None if v is None else [same_look(x) for x in v] for v in values], pa.list_(pa.string()))
+            if report:
+                arrays |= {"mixed_script": pa.array(mixed, pa.int32()), "whole_script": pa.array(whole_script, pa.int32())}
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
     kinds = {f.name: f for f in df.schema.fields}
     schema = T.StructType([T.StructField(n, f.dataType, True) for n, f in kinds.items()])
+    if report:
+        df = df.drop("mixed_script", "whole_script")
+        schema = T.StructType([f for f in schema.fields if f.name in df.columns] + [T.StructField(n, T.IntegerType(), True) for n in ("mixed_script", "whole_script")])
     return df.mapInArrow(work, schema)
 
 
@@ -64,6 +75,15 @@ def look_hashes(df: DataFrame, id_col: str, text_col: str, list_col: str) -> Dat
     return source.mapInArrow(work, "id string, l1 long, l2 long, r1 long, r2 long, twins boolean")
 
 
+def same_look_classes(df: DataFrame, id_col: str = "document_id", text_col: str = "text", list_col: str = "literals") -> DataFrame:
+    """look, spelling, spellings, records: every spelling of a look that has several, with its number of records; nothing is paired."""
+    rows = look_hashes(df, id_col, text_col, list_col)
+    spellings = rows.groupBy("l1", "l2", "r1", "r2").agg(F.count_distinct("id").alias("records"))
+    several = spellings.groupBy("l1", "l2").agg(F.count("*").alias("spellings")).where("spellings > 1")
+    name = lambda a, b: F.concat(F.lower(F.hex(a)), F.lower(F.hex(b)))
+    return spellings.join(several, ["l1", "l2"]).select(name("l1", "l2").alias("look"), name("r1", "r2").alias("spelling"), "spellings", "records")
+
+
 def same_look_records(df: DataFrame, id_col: str = "document_id", text_col: str = "text", list_col: str = "literals") -> DataFrame:
     """field, document_id_a, document_id_b: unequal texts of one look, and records with unequal literals of one look."""
     rows = look_hashes(df, id_col, text_col, list_col)

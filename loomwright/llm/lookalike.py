@@ -6,9 +6,9 @@ The form is built in four steps, each a function of what a reader sees:
    kind of line end becomes ``\\n``;
 2. width and block variants, ligatures, unit signs and radicals are replaced by
    what they stand for, accented letters are composed;
-3. for each token the script sets of its letters are intersected (a letter that
-   has twins in other scripts may belong to any of them); the token is spelt in
-   the script that can spell all of it, Latin first, and where no script can
+3. for each token the script sets of its letters (:mod:`confusables`) are intersected,
+   where a letter that has twins in other scripts may belong to any of them; the token
+   is spelt in the script that can spell all of it, Latin first, and where no script can
    (mixed-script spoof such as ``Bоlt``) in the Latin twins;
 4. runs of blanks shrink to one, blanks at line ends go.
 
@@ -28,40 +28,9 @@ from functools import lru_cache
 
 import numpy as np
 
-# --- fixed values: letters of equal shape, Latin / Greek / Cyrillic -------------------
-TWINS = """
-A Α А
-B Β В
-C - С
-E Ε Е
-H Η Н
-I Ι І
-J Ϳ Ј
-K Κ К
-M Μ М
-N Ν -
-O Ο О
-P Ρ Р
-S - Ѕ
-T Τ Т
-X Χ Х
-Y Υ Ү
-Z Ζ -
-a - а
-c - с
-e - е
-i - і
-j ϳ ј
-o ο о
-p - р
-s - ѕ
-x - х
-y - у
-h - һ
-d - ԁ
-q - ԛ
-w - ԝ
-"""
+from .confusables import resolved, script_set, twins
+
+# --- fixed values --------------------------------------------------------------------
 # simplified radicals that have no compatibility mapping of their own
 RADICALS = """
 ⺟母 ⺠民 ⻁虎 ⻄西 ⻅见 ⻆角 ⻉贝 ⻋车 ⻓长 ⻔门 ⻘青 ⻙韦 ⻚页 ⻛风 ⻜飞 ⻝食 ⻢马 ⻣骨 ⻤鬼 ⻥鱼 ⻦鸟
@@ -70,21 +39,18 @@ RADICALS = """
 # letters whose compatibility mapping changes their look
 LOOKS = "ϹC ϲc"
 HYPHENS = "‐‑−﹣－"
+# signs of other blocks drawn like an ASCII one
+SIGNS = {"∶": ":", "⁄": "/", "∕": "/"}
 LINE_ENDS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85  "
 # --------------------------------------------------------------------------------------
 
-_SCRIPTS = ("LATIN", "GREEK", "CYRILLIC")
-_CLASS: dict[str, dict[str, str]] = {}
-for _row in TWINS.split("\n"):
-    if _row:
-        _members = {s: c for s, c in zip(_SCRIPTS, _row.split(" ")) if c != "-"}
-        for _c in _members.values():
-            _CLASS[_c] = _members
+_CLASS = twins()
+_PREFERRED = ("Latn", "Grek", "Cyrl")
 _RADICAL = {x[0]: x[1] for x in (RADICALS + LOOKS).split()}
 _KEPT_KINDS = ("<super>", "<sub>", "<fraction>", "<circle>")
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=1 << 17)
 def _plain(c: str) -> str:
     """What one sign stands for; '' when it has no visible mark."""
     if c in LINE_ENDS:
@@ -93,8 +59,8 @@ def _plain(c: str) -> str:
         return " "
     if c in HYPHENS:
         return "-"
-    if c in _RADICAL:
-        return _RADICAL[c]
+    if c in _RADICAL or c in SIGNS:
+        return _RADICAL.get(c) or SIGNS[c]
     kind = ud.category(c)
     if kind in ("Cf", "Cc") or 0xFE00 <= ord(c) <= 0xFE0F or c in "͏ᅟᅠㅤﾠ":
         return ""
@@ -116,26 +82,24 @@ class _Plain(dict):
 _PLAIN = _Plain()
 
 
-def _script(c: str) -> str:
-    return ud.name(c, "").split(" ")[0]
-
-
 @lru_cache(maxsize=1 << 16)
 def _spelt(token: str) -> str:
     """The token in the script its letters' script sets have in common."""
-    common: set[str] | None = None
+    common: frozenset[str] | None = None
     for c in token:
-        if c.isalpha():
-            own = set(_CLASS[c]) if c in _CLASS else {_script(c)}
+        own = frozenset(_CLASS[c]) if c in _CLASS else script_set(c) if c.isalpha() else None
+        if own:
             common = own if common is None else common & own
-    target = "LATIN"
-    if common and "LATIN" not in common:
-        target = next((s for s in _SCRIPTS if s in common), "LATIN")
+    target = "Latn"
+    if common and "Latn" not in common:
+        target = next((s for s in _PREFERRED if s in common), min(common))
     return "".join(_CLASS[c].get(target, c) if c in _CLASS else c for c in token)
 
 
-_ALPHABETIC = "0-9A-Za-zÀ-ɏ\u0300-\u036fͰ-ϿЀ-ԯḀ-῿"
-_TOKEN = re.compile(f"[{_ALPHABETIC}]*[{''.join(c for c in _CLASS if ord(c) > 127)}][{_ALPHABETIC}]*")
+# letters, digits and accents of the scripts that have twins; ideographs end a token
+_ALPHABETIC = "0-9A-Za-zÀ-ʯ\u0300-\u036fͰ-ԯ\u0531-\u0587\u10a0-\u10ffᎠ-ᏽḀ-῿Ⱡ-ⷿꓐ-ꓽꙀ-ꚟꜢ-ꟿꬰ-ꮿ\U00010400-\U000104ff"
+_HIDDEN = "".join(c for c in _CLASS if ord(c) > 127)
+_TOKEN = re.compile(f"[{_ALPHABETIC}]*[{_HIDDEN}][{_ALPHABETIC}]*")
 _LINE_EDGE = re.compile(" *\n *")
 _BLANKS = re.compile("  +")
 
@@ -152,6 +116,28 @@ def same_look(text: str | None) -> str | None:
     return _LINE_EDGE.sub("\n", _BLANKS.sub(" ", text)).strip()
 
 
+@lru_cache(maxsize=1)
+def _suspects() -> re.Pattern:
+    """Any letter outside ASCII that is a twin, or becomes one without its accents or in its plain form."""
+    hidden = set(_HIDDEN)
+    found = [c for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x1F200)]) if c in hidden or ud.normalize("NFKD", c)[0] in hidden]
+    return re.compile("[" + "".join(found) + "]")
+
+
+def script_report(text: str | None) -> tuple[int, int]:
+    """(tokens whose letters have no script in common, tokens of one other script that Latin can spell as a whole)."""
+    mixed = whole = 0
+    if not text or not _suspects().search(text):
+        return 0, 0
+    for m in _TOKEN.finditer(ud.normalize("NFD", text).translate(_PLAIN)):
+        common = resolved(m[0])
+        if common is not None and not common:
+            mixed += 1
+        elif common and "Latn" not in common and all(c in _CLASS for c in m[0] if c.isalpha()):
+            whole += 1
+    return mixed, whole
+
+
 # --- the same over whole batches ------------------------------------------------------
 SLOW = 0xFFFFFFFF
 _SIZE = 0x30000
@@ -173,14 +159,14 @@ def _table(mode: str) -> np.ndarray:
     if mode not in _tables:
         t = np.arange(_SIZE, dtype=np.uint32)
         t[0xD800:0xE000] = 0
-        blocks = [(0, 0x3400), (0xA000, 0xAC00), (0xD7A4, 0xD800), (0xE000, 0x10000), (0x1D400, 0x1D800), (0x1F100, 0x1F200), (0x2F800, 0x2FA20)]
+        blocks = [(0, 0x3400), (0xA000, 0xAC00), (0xD7A4, 0xD800), (0xE000, 0x10000), (0x10400, 0x10500), (0x1D400, 0x1D800), (0x1F100, 0x1F200), (0x2F800, 0x2FA20)]
         for lo, hi in blocks:
             for o in range(lo, hi):
                 c = chr(o)
                 p = _plain(c)
                 if not p or p.isspace():
                     t[o] = ord(p) if p and mode == "look" else 0
-                elif len(p) > 1 or ud.combining(c) or (o < 0xFF00 and _hidden_twin(c)) or 0x1100 <= o < 0x1200:
+                elif len(p) > 1 or ud.combining(c) or (not 0xFF00 <= o < 0x10000 and _hidden_twin(c)) or 0x1100 <= o < 0x1200:
                     t[o] = SLOW
                 else:
                     low = p if mode == "look" else p.lower()

@@ -9,7 +9,8 @@ similarity of ``threshold`` on.
    densification, several permutations), the bands of that sample, and the odd
    sketch: a parity bitmap into which the sample is folded;
 2. copies are collapsed to their class, so a hot group of copies is one row from here;
-3. classes that share a band key are candidates (self-join on the key);
+3. classes that share a band key are candidates (self-join on the key); a band with many
+   members is cut into parts of which each two meet in a task of their own;
 4. the XOR population count of two odd sketches estimates the similarity; pairs
    clearly below the threshold end here, before any text is moved;
 5. the others are verified on the full run sets.
@@ -45,6 +46,8 @@ class NearDuplicateConfig:
     sketch_bits: int = 512
     #: estimated similarity below which a candidate is dropped; some four standard deviations under the threshold
     sketch_floor: float = 0.38
+    #: members of a band that meet in one task; larger bands are cut into that many and each two parts meet in a task of their own
+    band_members: int = 1000
     #: ids up to this many are sent to the text scan as a broadcast; more go by a shuffle join
     broadcast_ids: int = 200_000
 
@@ -145,13 +148,14 @@ def members_of(rows: DataFrame) -> DataFrame:
 def candidate_pairs(classes: DataFrame, cfg: NearDuplicateConfig) -> DataFrame:
     """Pairs of classes (a < b) that share a band and whose odd sketches look similar enough."""
     keys = classes.select("k1", F.explode("bands").alias("band"))
-    pairs = (
-        keys.select("band", F.col("k1").alias("a"))
-        .join(keys.select("band", F.col("k1").alias("b")), "band")
-        .where("a < b")
-        .select("a", "b")
-        .distinct()
-    )
+    sizes = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    # part p of n meets the parts p .. n - 1 as the one side and 0 .. p as the other
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / cfg.band_members)).cast("int").alias("parts")
+    placed = keys.join(sizes.select("band", parts), "band").withColumn("p", F.pmod(F.xxhash64("k1"), F.col("parts")).cast("int"))
+    one = placed.select("band", F.col("k1").alias("a"), F.col("p").alias("x"), F.explode(F.sequence(F.col("p"), F.col("parts") - 1)).alias("y"))
+    two = placed.select("band", F.col("k1").alias("b"), F.explode(F.sequence(F.lit(0), F.col("p"))).alias("x"), F.col("p").alias("y"))
+    met = one.join(two, ["band", "x", "y"]).where("x < y or a < b")
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sketches = classes.select("k1", "sketch")
     both = pairs.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
     n, k = cfg.sketch_bits, cfg.samples

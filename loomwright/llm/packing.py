@@ -33,7 +33,8 @@ from .tokens import Tokenizer, tokenizer_sizes
 
 @dataclass(frozen=True)
 class PackConfig:
-    salts: int = 64
+    #: items of one size and target that are numbered in one task, on average
+    items_a_salt: int = 1_000_000
     tokenizer: Tokenizer = Tokenizer()
 
 
@@ -134,6 +135,9 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     if not goals:
         return spark.createDataFrame([], f"bin long, target_name string, id {id_kind}, part int, start long, tokens long")
     sizes = stored(tokenizer_sizes(docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", cfg.tokenizer), "pack-sizes")
+    bulk = sizes.agg(F.count("*").alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).first()
+    # the hottest size is that of full windows, of which there may be as many as the tokens fill
+    salts = max(8, -(-(bulk["n"] + bulk["tokens"] // min(goals.values())) // cfg.items_a_salt))
     windows = F.array(*[F.struct(F.lit(n).alias("target_name"), F.lit(c).cast("long").alias("capacity")) for n, c in goals.items()])
     items = sizes.select("id", "tokens", F.explode(windows).alias("w")).select("id", "tokens", "w.*")
     last = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity"))) - 1
@@ -141,7 +145,7 @@ def pack(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
     items = items.select(
         "target_name", "id", F.col("part").cast("int").alias("part"), (F.col("part") * F.col("capacity")).alias("start"),
         F.least("capacity", F.col("tokens") - F.col("part") * F.col("capacity")).alias("size"),
-        F.pmod(F.xxhash64("id", "part"), F.lit(cfg.salts)).cast("int").alias("salt"),
+        F.pmod(F.xxhash64("id", "part"), F.lit(salts)).cast("int").alias("salt"),
     )
     counts = stored(items.groupBy("target_name", "size", "salt").agg(F.count("*").alias("n")), "pack-counts")
     plans = {}

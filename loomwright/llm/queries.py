@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.components import connected_components
+from .components import connected_components
 from . import cross_split as cs, near_duplicates as nd
-from .forms import consistent_forms, same_look_records
+from .forms import consistent_forms, same_look_classes, same_look_records
 from .frames import collection, nonblank, read
 from .leakage import leaks
 from .packing import fill_report, pack
@@ -33,9 +33,17 @@ SELECT document_id, CASE WHEN list_max(list_transform(parts, lambda x: length(x)
 
 
 def records(spark, sf_dir: str) -> DataFrame:
-    """The technical documents, one row per record: the last extracted, ties by file."""
-    df = read(spark, sf_dir, "d4_documents")
-    return df.groupBy("document_id").agg(*[F.max_by(c, F.struct("extracted_at", "source_file")).alias(c) for c in df.columns if c != "document_id"])
+    """The technical documents, one row per record: the last extracted, ties by file.
+
+    The row is chosen on narrow columns; rows equal in these are one by their text's hash.
+    """
+    df = read(spark, sf_dir, "d4_documents").where("document_id is not null")
+    place = F.struct(F.coalesce(F.col("extracted_at").cast("string"), F.lit("")).alias("t"), F.coalesce("source_file", F.lit("")).alias("f"), F.xxhash64("text").alias("h"))
+    last = df.select("document_id", place.alias("p")).groupBy("document_id").agg(F.max("p").alias("p"))
+    several = df.groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1").select("document_id")
+    once = df.join(several, "document_id", "left_anti")
+    chosen = df.withColumn("p", place).join(several, "document_id", "left_semi").join(last, ["document_id", "p"], "left_semi").drop("p").dropDuplicates(["document_id"])
+    return once.unionByName(chosen)
 
 
 @query
@@ -67,7 +75,7 @@ def p2_pieces(spark, sf_dir: str) -> DataFrame:
 def p2_found(spark, sf_dir: str) -> DataFrame:
     """Records that had to be cut, read off their first piece."""
     limit = SplitConfig().limit
-    rows = split_texts(read(spark, sf_dir, "d4_documents").where(nonblank())).where(f"piece_no > 0 or n_chars > {limit}")
+    rows = split_texts(read(spark, sf_dir, "d4_documents").where(nonblank()), with_text=False).where(f"piece_no > 0 or n_chars > {limit}")
     kind = F.when(F.max("forced"), "forced").otherwise("natural").alias("kind")
     return rows.groupBy(F.col("id").alias("document_id")).agg(kind)
 
@@ -76,7 +84,13 @@ def p2_found(spark, sf_dir: str) -> DataFrame:
 def p4_forms(spark, sf_dir: str) -> DataFrame:
     """Every row with text, title and literals in their consistent form."""
     df = read(spark, sf_dir, "d4_documents").select("document_id", "title", "text", "literals", "split", "source_file")
-    return consistent_forms(df, ["title", "text"], ["literals"])
+    return consistent_forms(df, ["title", "text"], ["literals"], "text")
+
+
+@query
+def p4_classes(spark, sf_dir: str) -> DataFrame:
+    """Spellings of texts of one look, with their numbers of records."""
+    return same_look_classes(read(spark, sf_dir, "d4_documents"))
 
 
 @query

@@ -11,8 +11,8 @@ back the text exactly.
 
 Null texts give no piece, blank and short texts give one piece equal to the text.
 ``cut`` says what the piece ends at: ``end``, ``section``, ``paragraph``,
-``sentence``, ``word`` or ``character``; ``forced`` marks texts with a stretch
-between two natural boundaries that is itself longer than the limit.
+``sentence``, ``word`` or ``character``; ``forced`` marks texts of which the hierarchy
+had to part a stretch between two natural boundaries, as it is itself longer than the limit.
 """
 
 from __future__ import annotations
@@ -39,14 +39,6 @@ class SplitConfig:
     overlap: int = 100
 
 
-def longest_stretch(text: str) -> int:
-    """Length of the longest run without a natural boundary (boundary signs themselves not counted)."""
-    most, at = 0, 0
-    for m in SENTENCE.finditer(text):
-        most, at = max(most, m.start() - at), m.end()
-    return max(most, len(text) - at)
-
-
 def parts(text: str, start: int, end: int, limit: int, level: int = 0) -> Iterator[tuple[int, str]]:
     """(end, what it ends at) of consecutive parts of text[start:end], each within the limit."""
     if level == len(LEVELS):
@@ -75,13 +67,14 @@ def parts(text: str, start: int, end: int, limit: int, level: int = 0) -> Iterat
         at = after
 
 
-def pieces(text: str, cfg: SplitConfig = SplitConfig()) -> list[tuple[int, int, int, str]]:
-    """(start, end, overlap with the piece before, what it ends at)."""
+def pieces(text: str, cfg: SplitConfig = SplitConfig()) -> tuple[list[tuple[int, int, int, str]], bool]:
+    """(start, end, overlap with the piece before, what it ends at) of each piece, and whether a stretch without boundaries was parted."""
     if len(text) <= cfg.limit:
-        return [(0, len(text), 0, "end")]
+        return [(0, len(text), 0, "end")], False
     out: list[tuple[int, int, int, str]] = []
-    begin, lap, at, how = 0, 0, 0, "end"
+    begin, lap, at, how, forced = 0, 0, 0, "end", False
     for end, name in parts(text, 0, len(text), cfg.limit):
+        forced = forced or name in ("word", "character")  # below sentences the hierarchy goes only within one stretch
         if end == at:
             continue
         if end - begin > cfg.limit:
@@ -90,26 +83,29 @@ def pieces(text: str, cfg: SplitConfig = SplitConfig()) -> list[tuple[int, int,
             lap = at - begin
         at, how = end, name
     out.append((begin, at, lap, "end"))
-    return out
+    return out, forced
 
 
-def split_texts(df: DataFrame, id_col: str = "document_id", text_col: str = "text", cfg: SplitConfig = SplitConfig()) -> DataFrame:
-    """id, piece_no, start, overlap, n_chars, cut, forced, piece: one row per piece of every non-null text."""
+def split_texts(df: DataFrame, id_col: str = "document_id", text_col: str = "text", cfg: SplitConfig = SplitConfig(), with_text: bool = True) -> DataFrame:
+    """id, piece_no, start, overlap, n_chars, cut, forced, piece: one row per piece of every non-null text; ``piece`` is left out unless ``with_text``."""
     if not 0 <= cfg.overlap < cfg.limit:
         raise ValueError("0 <= overlap < limit")
     source = spread(df.where(F.col(text_col).isNotNull())).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    names = ["id", "piece_no", "start", "overlap", "n_chars", "cut", "forced", "piece"]
+    names = ["id", "piece_no", "start", "overlap", "n_chars", "cut", "forced"]
 
     def work(batches):
         for batch in batches:
             rows, no, start, lap, size, cut, forced, piece = [], [], [], [], [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                hard = len(text) > cfg.limit and longest_stretch(text) > cfg.limit
-                for k, (a, b, o, how) in enumerate(pieces(text, cfg)):
+                cuts, hard = pieces(text, cfg)
+                for k, (a, b, o, how) in enumerate(cuts):
                     rows.append(i), no.append(k), start.append(a), lap.append(o), size.append(b - a)
-                    cut.append(how), forced.append(hard), piece.append(text[a:b])
-            columns = [pa.array(no, pa.int32()), pa.array(start, pa.int64()), pa.array(lap, pa.int32()), pa.array(size, pa.int32()), pa.array(cut), pa.array(forced), pa.array(piece)]
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), *columns], names=names)
-
-    return source.mapInArrow(work, f"id {id_type}, piece_no int, start long, overlap int, n_chars int, cut string, forced boolean, piece string")
+                    cut.append(how), forced.append(hard)
+                    if with_text:
+                        piece.append(text[a:b])
+            columns = [pa.array(no, pa.int32()), pa.array(start, pa.int64()), pa.array(lap, pa.int32()), pa.array(size, pa.int32()), pa.array(cut, pa.string()), pa.array(forced, pa.bool_())]
+            columns += [pa.array(piece, pa.string())] * with_text
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(rows, pa.int64())), *columns], names=names + ["piece"] * with_text)
+
+    return source.mapInArrow(work, f"id {id_type}, piece_no int, start long, overlap int, n_chars int, cut string, forced boolean" + ", piece string" * with_text)

@@ -1,15 +1,21 @@
 """Exact token counts under a public byte-pair tokenizer, and token budgets per slice.
 
-A text is cut into pieces by the tokenizer's pattern; tokens never cross pieces.
-Each task collects the distinct pieces of its texts, sorts them and walks them as
-a prefix trie: a node is a prefix, its state is the last token of the prefix's
-encoding and the number of tokens up to it.  The state of a longer prefix follows
-from states already known: exactly one token that ends at the new byte is
-compatible with the last token of the prefix before it (adjacent pairs decide
-whether a token series is the encoding of its text).  A piece's count is the state
-of its terminal node; the counts are joined to the documents they came from.
-Shared prefixes are tokenized once, repeated pieces not at all, and no text and
-no piece is shuffled: only one number per row leaves the task.
+A text is cut into pieces by the tokenizer's pattern; tokens never cross pieces.  Pieces
+that are one token count at once.  The others are tokenized once in the whole corpus:
+
+1. each task gathers the distinct pieces of its texts, each with the documents that hold
+   it and how often (:func:`piece_lists`);
+2. these lists are range-partitioned and sorted by piece, so that each partition is a part
+   of the prefix trie of all distinct pieces, and equal pieces of all tasks meet
+   (:func:`trie_counts`);
+3. a partition walks its part of the trie: a node is a prefix, its state is the last token
+   of the prefix's encoding and the number of tokens up to it.  The state of a longer
+   prefix follows from states already known: exactly one token that ends at the new byte
+   is compatible with the last token of the prefix before it (adjacent pairs decide
+   whether a token series is the encoding of its text).  Shared prefixes are tokenized
+   once; a piece's count is the state of its terminal node;
+4. the terminal counts go to the documents on the node's list, and their sums per
+   document meet the counts of the first step.
 
 Null text gives a null count, empty text zero.
 """
@@ -17,12 +23,16 @@ Null text gives a null count, empty text zero.
 from __future__ import annotations
 
 import base64
+import os
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import stored
 from .batches import spread, text_slices
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,8 +46,18 @@ class Tokenizer:
     pattern: str = PATTERN
 
 
+def shipped(df: DataFrame, spec: Tokenizer) -> Tokenizer:
+    """The tokenizer, its file sent along to executors that don't have it at its path."""
+    df.sparkSession.sparkContext.addFile(spec.path)
+    return spec
+
+
 @lru_cache(maxsize=2)
 def ranks_of(path: str) -> dict[bytes, int]:
+    if not os.path.exists(path):
+        from pyspark import SparkFiles
+
+        path = SparkFiles.get(os.path.basename(path))
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
@@ -49,22 +69,20 @@ def encoding(spec: Tokenizer):
     return tiktoken.Encoding("public", pat_str=spec.pattern, mergeable_ranks=ranks_of(spec.path), special_tokens={})
 
 
-class PieceCounter:
-    """Token counts of pieces from incremental states along shared prefixes."""
-
-    KEPT = 1_000_000  # pieces whose counts are kept for later batches of the task; dropping them only costs time
+class PrefixStates:
+    """Token counts of byte strings that come in ascending order, from the states of their shared prefixes."""
 
     def __init__(self, spec: Tokenizer):
         self.ranks = ranks_of(spec.path)
         self.encoding = encoding(spec)
         self.token = {i: b for b, i in self.ranks.items()}
-        self.known: dict[str, int] = {}
         self.pairs: dict[int, bool] = {}
         lengths: dict[bytes, set[int]] = {}
         for b in self.ranks:
             lengths.setdefault(b[-2:], set()).add(len(b))
         #: lengths of the tokens of two bytes and more by their last two bytes
         self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items() if len(k) == 2}
+        self.last, self.count, self.before = [-1], [0], b""
 
     def _compatible(self, left: int, right: int) -> bool:
         key = left << 20 | right
@@ -81,73 +99,137 @@ class PieceCounter:
             self.pairs[-token - 1] = known
         return known
 
-    def learn(self, pieces) -> None:
-        """Counts for pieces that have none yet, in one walk over their sorted prefixes."""
+    def next(self, b: bytes) -> int:
+        """The number of tokens of the next string."""
         ranks, lengths, compatible = self.ranks, self.lengths, self._compatible
-        if len(self.known) > self.KEPT:
-            self.known.clear()
-        fresh = []
-        for p in pieces:
-            if p not in self.known:
-                b = p.encode("utf-8", "surrogatepass")
-                if b in ranks:
-                    self.known[p] = 1
-                else:
-                    fresh.append((b, p))
-        fresh.sort()
-        last, count, before = [-1], [0], b""
-        for b, p in fresh:
-            n, same = min(len(b), len(before)), 0
-            while same < n and b[same] == before[same]:
-                same += 1
-            del last[same + 1 :], count[same + 1 :]
-            for i in range(same + 1, len(b) + 1):
-                for size in lengths.get(b[i - 2 : i], ()) if i > 1 else ():
-                    at = i - size
-                    if at < 0:
-                        continue
-                    token = ranks.get(b[at:i])
-                    if token is not None and (compatible(last[at], token) if at else self._alone(token)):
-                        break
-                else:
-                    at, token = i - 1, ranks[b[i - 1 : i]]
-                last.append(token), count.append(count[at] + 1)
-            self.known[p] = count[-1]
-            before = b
+        last, count, before = self.last, self.count, self.before
+        n, same = min(len(b), len(before)), 0
+        while same < n and b[same] == before[same]:
+            same += 1
+        del last[same + 1 :], count[same + 1 :]
+        for i in range(same + 1, len(b) + 1):
+            for size in lengths.get(b[i - 2 : i], ()) if i > 1 else ():
+                at = i - size
+                if at < 0:
+                    continue
+                token = ranks.get(b[at:i])
+                if token is not None and (compatible(last[at], token) if at else self._alone(token)):
+                    break
+            else:
+                at, token = i - 1, ranks[b[i - 1 : i]]
+            last.append(token), count.append(count[at] + 1)
+        self.before = b
+        return count[-1]
 
 
 @lru_cache(maxsize=2)
-def _counter(spec: Tokenizer) -> PieceCounter:
-    return PieceCounter(spec)
+def _states(spec: Tokenizer) -> PrefixStates:
+    return PrefixStates(spec)
 
 
-def token_counts(df: DataFrame, text_col: str = "text", spec: Tokenizer = Tokenizer(), out: str = "tokens") -> DataFrame:
-    """The frame without its text column and with the number of tokens of each text."""
-    kept = [c for c in df.columns if c not in (text_col, out)]
+#: postings that a task gathers before it passes its lists on
+GATHERED = 1_000_000
+
+
+def piece_lists(df: DataFrame, text_col: str, spec: Tokenizer) -> DataFrame:
+    """Two kinds of rows: documents (row, kept columns, tokens of one-token pieces) and pieces of several tokens (piece, rows, times)."""
+    kept = [c for c in df.columns if c != text_col]
     source = spread(df).select(*kept, F.col(text_col).alias(text_col))
+    kept_types = [(c, t) for c, t in source.dtypes if c != text_col]
+    own = ["__row", "__base", "__piece", "__rows", "__times"]
 
     def work(batches):
         import regex
+        from pyspark import TaskContext
+
+        cut, ranks = regex.compile(spec.pattern).findall, ranks_of(spec.path)
+        single: dict[str, bool] = {}
+        lists: dict[str, tuple[list[int], list[int]]] = {}
+        row = TaskContext.get().partitionId() << 33
+        gathered = 0
+        schema = None
+
+        def flush():
+            pieces = list(lists)
+            ends = np.concatenate([[0], np.cumsum([len(lists[p][0]) for p in pieces])]).astype(np.int32)
+            rows, times = ([x for p in pieces for x in lists[p][k]] for k in (0, 1))
+            arrays = [pa.nulls(len(pieces), f.type) for f in schema]
+            arrays += [pa.nulls(len(pieces), pa.int64()), pa.nulls(len(pieces), pa.int64()), pa.array(pieces, pa.string()), pa.ListArray.from_arrays(ends, pa.array(rows, pa.int64())), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))]
+            lists.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=[*(f.name for f in schema), *own])
 
-        cut = regex.compile(spec.pattern).findall
-        counter = _counter(spec)
         for batch in batches:
+            schema = [batch.schema.field(c) for c in kept]
             nulls = batch.column(text_col).is_null().to_pylist()
-            totals: list[int | None] = []
-            for _, texts in text_slices(batch, text_col):
-                pieces = [cut(t) for t in texts]
-                counter.learn({p for ps in pieces for p in ps})
-                known = counter.known
-                totals += [sum(map(known.__getitem__, ps)) for ps in pieces]
-            totals = [None if n else t for n, t in zip(nulls, totals)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(totals, pa.int64())], names=[*kept, out])
+            first, base = row, []
+            for part, texts in text_slices(batch, text_col):
+                if len(single) > GATHERED:
+                    single.clear()
+                for t in texts:
+                    total = 0
+                    for p, n in Counter(cut(t)).items():
+                        one = single.get(p)
+                        if one is None:
+                            one = single[p] = p.encode("utf-8", "surrogatepass") in ranks
+                        if one:
+                            total += n
+                        else:
+                            have = lists.get(p)
+                            if have is None:
+                                have = lists[p] = ([], [])
+                            have[0].append(row), have[1].append(n)
+                            gathered += 1
+                    base.append(total)
+                    row += 1
+            base = [None if null else b for null, b in zip(nulls, base)]
+            arrays = [batch.column(c) for c in kept] + [pa.array(range(first, row), pa.int64()), pa.array(base, pa.int64()), pa.nulls(len(base), pa.string()), pa.nulls(len(base), pa.list_(pa.int64())), pa.nulls(len(base), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *own])
+            if gathered >= GATHERED:
+                yield flush()
+                gathered = 0
+        if lists:
+            yield flush()
+
+    columns = [f"`{c}` {t}" for c, t in kept_types] + ["`__row` long", "`__base` long", "`__piece` string", "`__rows` array<long>", "`__times` array<int>"]
+    return source.mapInArrow(work, ", ".join(columns))
+
+
+def trie_counts(lists: DataFrame, spec: Tokenizer) -> DataFrame:
+    """row, tokens: of each partition of the trie, what its pieces add to each document."""
+    parts = lists.select(F.encode("__piece", "UTF-8").alias("b"), F.col("__rows").alias("rows"), F.col("__times").alias("times"))
+    parts = parts.repartitionByRange("b").sortWithinPartitions("b")
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in source.select(*kept).dtypes) + f"{', ' if kept else ''}`{out}` long"
-    return source.mapInArrow(work, schema)
+    def work(batches):
+        states = _states(spec)
+        states.last, states.count, states.before = [-1], [0], b""
+        before, n = None, 0
+        for batch in batches:
+            counts = np.zeros(batch.num_rows, dtype=np.int64)
+            for i, b in enumerate(batch.column("b").to_pylist()):
+                if b != before:
+                    n, before = states.next(b), b
+                counts[i] = n
+            rows, times = batch.column("rows"), batch.column("times")
+            sizes = rows.value_lengths().to_numpy()
+            total = times.flatten().to_numpy() * np.repeat(counts, sizes)
+            found, where = np.unique(rows.flatten().to_numpy(), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.bincount(where, total, minlength=len(found)).astype(np.int64))], names=["row", "n"])
+
+    return parts.mapInArrow(work, "row long, n long")
+
+
+def token_counts(df: DataFrame, text_col: str = "text", spec: Tokenizer = Tokenizer(), out: str = "tokens") -> DataFrame:
+    """The frame without its text column and with the number of tokens of each text."""
+    rows = stored(piece_lists(df.drop(out) if out != text_col else df, text_col, shipped(df, spec)), "token-pieces")
+    several = trie_counts(rows.where("__piece is not null"), spec).groupBy("row").agg(F.sum("n").alias("n")).toDF("__r", "__n")
+    own = rows.where("__row is not null").drop("__piece", "__rows", "__times")
+    total = (F.col("__base") + F.coalesce("__n", F.lit(0))).alias(out)
+    return own.join(several, F.col("__row") == F.col("__r"), "left").select(*[c for c in own.columns if not c.startswith("__")], total)
 
 
 def tokenizer_sizes(df: DataFrame, text_col: str = "text", spec: Tokenizer = Tokenizer(), out: str = "tokens") -> DataFrame:
-    """As :func:`token_counts`, by the tokenizer library itself (faster where pieces rarely repeat)."""
+    """As :func:`token_counts`, by the tokenizer library itself (nothing is shuffled)."""
+    shipped(df, spec)
     kept = [c for c in df.columns if c not in (text_col, out)]
     source = spread(df).select(*kept, F.col(text_col).alias(text_col))
 

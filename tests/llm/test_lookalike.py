@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from loomwright.llm.lookalike import fold, same_look, same_looks
+from loomwright.llm.lookalike import fold, same_look, same_looks, script_report
 
 CASES = [
     ("Вolt P0А30", "Bolt P0A30"),  # Cyrillic in Latin words and codes
@@ -22,6 +22,9 @@ CASES = [
     ("10Ω µF", "10Ω μF"),
     ("x² ½ ①", "x² ½ ①"),  # told apart by any reader
     ("ABC abc", "ABC abc"),  # case is kept
+    ("νolt ӀD ꓑump օil Ꭺb Ⲟil ɑbc loɡ", "volt ID Pump oil Ab Oil abc log"),  # twins of other scripts and blocks
+    ("1∶2 a⁄b", "1:2 a/b"),
+    ("α = 5°, σ, l1I|", "α = 5°, σ, l1I|"),  # resembling letters and signs stay
     ("", ""),
     (None, None),
 ]
@@ -33,7 +36,7 @@ def test_form(text, form):
     assert same_looks([text]) == [form]
 
 
-ALPHABET = st.text(alphabet="abАВСе оοΩµ１２ａ­​́̈ \t\n\r　ﬁ㎞⻋中文。,.-‐Ⅷ²�é\x00", max_size=40)
+ALPHABET = st.text(alphabet="νꓑɑӀ𐐬∶abАВСе оοΩµ１２ａ­​́̈ \t\n\r　ﬁ㎞⻋中文。,.-‐Ⅷ²�é\x00", max_size=40)
 
 
 @settings(max_examples=200, deadline=None)
@@ -87,3 +90,31 @@ def test_signs_beyond_the_table():
     for mode in ("runs", "alnum"):
         x, bounds = fold(texts[:3], mode)
         assert "".join(map(chr, x)) == "a\U00030000ba\U00031350bab" and bounds.tolist() == [0, 3, 6, 8]
+
+
+@pytest.mark.parametrize("text, report", [("Bоlt and Вольт", (1, 0)), ("сор рука", (0, 1)), ("plain 电阻 ｗｉｄｅ", (0, 0)), ("检查Bоlt", (1, 0)), ("", (0, 0)), (None, (0, 0)), ("rе́sumé", (1, 0))])
+def test_script_report(text, report):
+    assert script_report(text) == report
+
+
+def test_confusables_data():
+    from loomwright.llm.confusables import prototypes, resolved, twins
+
+    drawn = prototypes()
+    assert len(drawn) > 5000 and drawn["о"] == "o" and drawn["Α"] == "A"
+    assert all(twins()[c]["Latn"].isascii() for c in twins()) and twins()["с"]["Cyrl"] == "с"
+    assert resolved("abc") == {"Latn"} and resolved("aб") == frozenset() and resolved("12") is None and "Jpan" in resolved("漢字かな")
+
+
+def test_forms_frame(spark):
+    from loomwright.llm.forms import consistent_forms, same_look_classes, same_look_records
+
+    rows = [("a", "Bоlt 5", "x", ["\u21261", "\u03a91"], 1), ("b", "Bolt 5", None, None, 2), ("c", "Bolt  5", "y", [], 3), ("d", None, "z", [None, "A"], 4), ("e", "other", "", ["А1", "A1"], None)]
+    df = spark.createDataFrame(rows, "document_id string, text string, title string, literals array<string>, mixed_script int")
+    got = {r["document_id"]: r for r in consistent_forms(df, ["title", "text"], ["literals"], "text").collect()}
+    assert [got[k]["text"] for k in "abcde"] == ["Bolt 5", "Bolt 5", "Bolt 5", None, "other"] and got["d"]["literals"] == [None, "A"]
+    assert [got[k]["mixed_script"] for k in "abcde"] == [1, 0, 0, 0, 0] and [got[k]["whole_script"] for k in "abcde"] == [0] * 5
+    pairs = sorted(map(tuple, same_look_records(df).collect()))
+    assert pairs == [("literals", "a", "a"), ("literals", "e", "e"), ("text", "a", "b"), ("text", "a", "c"), ("text", "b", "c")]
+    classes = same_look_classes(df).collect()
+    assert len(classes) == 3 and {r["spellings"] for r in classes} == {3} and {r["records"] for r in classes} == {1}

@@ -51,6 +51,8 @@ def test_near_duplicates(spark, rows):
     found = [tuple(r) for r in nd.record_pairs(members, links).collect()]
     want = brute({r[0]: r[1] for r in rows if r[0] and r[1]})
     assert len(found) == len(set(found)) and set(found) == want and len(want) > 10
+    members, links = nd.near_duplicates(frame(spark, rows), cfg=nd.NearDuplicateConfig(band_members=1, broadcast_ids=0))  # every band is hot
+    assert {tuple(r) for r in nd.record_pairs(members, links).collect()} == want
 
 
 def test_cross_split(spark, rows):
@@ -87,7 +89,7 @@ def test_sketch_estimates():
 
 
 def test_components(spark):
-    from loomwright.operators.components import connected_components
+    from loomwright.llm.components import connected_components
 
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)], "a int, b int")
     got = {r["node"]: r["component"] for r in connected_components(links).collect()}

@@ -1,6 +1,7 @@
 """Splitting, quality, tokens, packing."""
 
 import random
+import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -13,12 +14,14 @@ CFG = splitting.SplitConfig(limit=50, overlap=10)
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab 。.!\n\r字;", max_size=400))
 def test_pieces_round_trip(text):
-    got = splitting.pieces(text, CFG)
+    got, forced = splitting.pieces(text, CFG)
     assert "".join(text[a:b][o:] for a, b, o, _ in got) == text
     for (a, b, _, _), (c, d, o, _) in zip(got, got[1:]):
         assert 0 <= o <= 10 and c == b - o and d > b
     assert all(b - a <= 50 for a, b, _, _ in got)
-    if splitting.longest_stretch(text) <= 50:
+    longest = max(map(len, re.split(r"[。！？；!?;\n\r]|\.(?=\s)", text)))
+    assert forced == (len(text) > 50 and longest > 50)
+    if longest <= 50:
         assert all(how not in ("word", "character") for *_, how in got)
 
 
@@ -55,6 +58,23 @@ def test_kinds(spark):
     assert quality.quality(df.limit(0)).count() == 0
 
 
+def test_repetition_tells_kinds():
+    line = "Please contact the service desk for all further questions."
+    other = "The pump was replaced after the test and the engine runs again."
+    kind = lambda body: quality.stats([f"title\n{body}"], [None])[0][-1]
+    assert kind("\n".join([line] * 40)) == "boilerplate" and kind("\n\n".join([f"{line} {other}"] * 3)) == "boilerplate"
+    assert kind("buy now! " * 180) == "list"
+    assert kind("\n".join(f"{other} Step {i} was then checked by {w} again." for i, w in enumerate("ABCDEF"))) != "list"
+    assert kind(f"{line} {other}") == "prose" and kind("") == "prose"
+
+
+def test_agreement(spark):
+    rows = spark.createDataFrame([("a", "prose"), ("b", "list"), ("c", "junk"), ("d", None)], "id string, kind string")
+    votes = [("a", "prose", "r"), ("a", "prose", None), ("a", "list", "q"), ("b", "table", "r"), ("c", "junk", "r"), ("c", "list", "r"), ("d", "junk", "r"), ("x", "junk", "r"), (None, "list", "r")]
+    labels = spark.createDataFrame(votes, "document_id string, kind string, reviewer string")
+    assert sorted(map(tuple, quality.agreement(rows, labels).collect())) == [("prose", "prose", 1), ("table", "list", 1)]
+
+
 def test_repetition():
     body = "t\n" + "same line here\n" * 4 + "other line\n"
     row = dict(zip(quality.NAMES, quality.stats([body], [None])[0]))
@@ -68,7 +88,8 @@ TEXTS = ["", "Hello world, it's 12345!", "温度升到29°C时,轮速传感器
 def test_tokens_are_exact(spark, name):
     spec = tokens.Tokenizer(f"/opt/tokenizers/{name}")
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(99, None)], "tokens int, text string")
-    got = {r["id"]: r["n"] for r in tokens.token_counts(df.withColumnRenamed("tokens", "id"), "text", spec, "n").collect()}
+    df = df.withColumnRenamed("tokens", "id").selectExpr("*", "'x' as row", "1 as piece")
+    got = {r["id"]: r["n"] for r in tokens.token_counts(df, "text", spec, "n").collect()}
     assert got == {**{i: len(tokens.encoding(spec).encode_ordinary(t)) for i, t in enumerate(TEXTS)}, 99: None}
 
 
@@ -76,10 +97,20 @@ def test_tokens_are_exact(spark, name):
 @given(st.lists(st.text(max_size=30), max_size=6))
 def test_prefix_states(pieces):
     spec = tokens.Tokenizer()
-    counter = tokens._counter(spec)
-    counter.learn(pieces)
-    for p in pieces:
-        assert counter.known[p] == (len(tokens.encoding(spec)._encode_single_piece(p.encode())) if p else 0)
+    states = tokens._states(spec)
+    states.last, states.count, states.before = [-1], [0], b""
+    for p in sorted(p.encode() for p in pieces):
+        assert states.next(p) == (len(tokens.encoding(spec)._encode_single_piece(p)) if p else 0)
+
+
+def test_token_counts_flush(spark, monkeypatch, invent):
+    """Repeated rows, equal pieces in several tasks, lists passed on in parts."""
+    texts = [invent(i % 7, 80 + i) for i in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").repartition(5)
+    monkeypatch.setattr(tokens, "GATHERED", 10)
+    got = {r["id"]: r["tokens"] for r in tokens.token_counts(df).collect()}
+    assert got == {i: len(tokens.encoding(tokens.Tokenizer()).encode_ordinary(t)) for i, t in enumerate(texts)}
+    assert tokens.token_counts(df.limit(0)).count() == 0
 
 
 def test_language_and_budget(spark):
