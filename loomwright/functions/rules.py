@@ -7,6 +7,7 @@ Null texts give the default label, no terms and zero counts.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -25,6 +26,15 @@ def has_term(text: Column, term: str) -> Column:
     return F.contains(text, F.lit(term))
 
 
+def any_term(text: Column, terms: list[str]) -> Column:
+    """Some term occurs, as :func:`has_term` has it: one pattern for words, one for substrings."""
+    lows = [t.lower() for t in terms]
+    plain = [re.escape(t) for t in lows if _PLAIN_TERM.fullmatch(t)]
+    other = [re.escape(t) for t in lows if not _PLAIN_TERM.fullmatch(t)]
+    found = [f"(?<![a-z0-9])(?:{'|'.join(plain)})(?![a-z0-9])"] if plain else []
+    return F.coalesce(text.rlike("|".join(found + other)), F.lit(False)) if terms else F.lit(False)
+
+
 def terms_in(text: Column, terms: list[str]) -> Column:
     """The terms that occur, in the order of the vocabulary."""
     return F.array_compact(F.array(*[F.when(has_term(text, t), F.lit(t)) for t in terms]))
@@ -60,6 +70,17 @@ def best_label(scores: Column, labels: list[str], default: str) -> Column:
     return out.otherwise(default)
 
 
+def score_array(text: Column, labels: dict[str, list[str]]) -> Column:
+    """The summed occurrences of each label as an array, to be kept as a column of its own before :func:`top_label` reads it several times."""
+    return F.array(*[reduce(lambda a, b: a + b, [occurrences(text, p) for p in parts]) for parts in labels.values()])
+
+
+def top_label(scores: Column, labels: list[str], default: str) -> Column:
+    """As :func:`best_label`, from an array of scores."""
+    best = F.array_max(scores)
+    return F.when(best > 0, F.element_at(F.array(*map(F.lit, labels)), F.array_position(scores, best).cast("int"))).otherwise(default)
+
+
 def counts_of(text: Column, patterns: dict[str, str]) -> Column:
     """Struct of the number of matches of each pattern, case ignored."""
     text = F.coalesce(text, F.lit(""))
@@ -72,23 +93,47 @@ def flags_of(flags: dict[str, Column]) -> Column:
 
 
 def term_flags(text: Column, groups: dict[str, list[str]]) -> Column:
-    return flags_of({n: reduce(lambda a, b: a | b, [has_term(text, t) for t in ts]) for n, ts in groups.items()})
+    return flags_of({n: any_term(text, ts) for n, ts in groups.items()})
 
 
 def domain_of(text: Column, inside: list[str], outside: list[str], trusted: Column | None = None, auxiliary: Column | None = None) -> Column:
     """outside beats inside; auxiliary text only speaks for inside; trusted rows default to inside."""
-    ins = F.size(terms_in(text, inside)) > 0
+    ins = any_term(text, inside)
     if auxiliary is not None:
-        ins = ins | (F.size(terms_in(auxiliary, inside)) > 0)
+        ins = ins | any_term(auxiliary, inside)
     if trusted is not None:
         ins = ins | trusted
-    return F.when(F.size(terms_in(text, outside)) > 0, "outside").when(ins, "inside").otherwise("uncertain")
+    return F.when(any_term(text, outside), "outside").when(ins, "inside").otherwise("uncertain")
+
+
+def foreign_reasons(text: Column, foreign: list[str], inside: list[str], excused: str | None = None, animal: str | None = None, animal_wording: str | None = None) -> Column:
+    """Terms that put a text outside, sorted: one of them excused beside a term of the domain, and ``spider`` where an animal meets the wording of pests."""
+    found = F.when(any_term(text, foreign), terms_in(text, foreign)).otherwise(F.array().cast("array<string>"))
+    if excused:
+        found = F.when(F.array_contains(found, excused) & any_term(text, inside), F.array_remove(found, excused)).otherwise(found)
+    if animal:
+        pest = F.coalesce(text.rlike(rx(animal, True)) & text.rlike(rx(animal_wording, True)), F.lit(False))
+        found = F.when(pest, F.array_append(found, "spider")).otherwise(found)
+    return F.array_sort(F.array_distinct(found))
+
+
+def domain_status(text: Column, reasons: Column, inside: list[str], trusted: bool = False, auxiliary: Column | None = None) -> Column:
+    """non_automotive where there are reasons against, automotive where a term speaks for it (in the auxiliary text too) or the source is trusted, else uncertain."""
+    positive = any_term(text, inside)
+    if auxiliary is not None:
+        positive = positive | any_term(auxiliary, inside)
+    return F.when(F.size(reasons) > 0, "non_automotive").when(positive | F.lit(trusted), "automotive").otherwise("uncertain")
+
+
+def says(text: Column, pattern: str) -> Column:
+    """The pattern occurs, case ignored; a null text says nothing."""
+    return F.coalesce(text.rlike(rx(pattern, True)), F.lit(False))
 
 
 def near_pair(text: Column, first: str, second: str, distance: int, breaks: str = r"[.!?;。！？；\n]", context: str | None = None) -> Column:
     """A match of each pattern, starts within ``distance`` and no break between; with ``context`` the sentence around must match it too.
 
-    Match positions are needed, so this is one vectorised Arrow function.
+    Match positions are needed, so this is one vectorised Arrow function; only texts that hold both go to it.
     """
     one, two, stop = (re.compile(p, re.I) for p in (first, second, breaks))
     around = re.compile(context, re.I) if context else None
@@ -119,29 +164,45 @@ def near_pair(text: Column, first: str, second: str, distance: int, breaks: str
     def run(s: pd.Series) -> pd.Series:
         return s.map(check)
 
-    return run(text)
+    both = says(text, first) & says(text, second)  # null stands for texts that can't have a pair
+    return F.coalesce(run(F.when(both, text)), F.lit(False))
 
 
-def unguarded(text: Column, action: str, before: str, before_width: int, after: str | None = None, after_width: int = 0, sentences: str = r"[。！？!?；;\n]") -> Column:
-    """Some sentence has a match of ``action`` whose neighbourhood doesn't guard it (negation before, note of danger after)."""
-    act, split, guard = re.compile(action, re.I), re.compile(sentences), re.compile(before)
-    follow = re.compile(after) if after else None
+@dataclass(frozen=True)
+class Guard:
+    """Wording near an action that excuses it: in the signs from ``left`` before the match, or its ``start`` or ``end``, up to ``right`` behind its end."""
+
+    pattern: str
+    left: int = 0
+    right: int = 0
+    #: "around" the match, "from" its start, "before" it or "behind" it; behind it the wording must begin at once
+    where: str = "before"
+
+    def excuses(self, sentence: str, start: int, end: int) -> bool:
+        lo = {"around": max(0, start - self.left), "before": max(0, start - self.left), "from": start, "behind": end}[self.where]
+        hi = start if self.where == "before" else end + self.right
+        look = re.compile(self.pattern).match if self.where == "behind" else re.compile(self.pattern).search
+        return look(sentence[lo:hi]) is not None
+
+
+def unexcused(text: Column, action: str, guards: list[Guard], sentences: str = r"[。！？!?；;\n]") -> Column:
+    """Some sentence has a match of ``action`` that no guard excuses; only texts with a match go to Python."""
+    act, split = re.compile(action, re.I), re.compile(sentences)
 
     def check(t: str | None) -> bool:
-        for s in split.split(t or ""):
-            for m in act.finditer(s):
-                if guard.search(s[max(0, m.start() - before_width) : m.start()]):
-                    continue
-                if follow and follow.match(s[m.end() : m.end() + after_width]):
-                    continue
-                return True
-        return False
+        return any(not any(g.excuses(s, *m.span()) for g in guards) for s in split.split(t or "") for m in act.finditer(s))
 
     @F.pandas_udf("boolean")
     def run(s: pd.Series) -> pd.Series:
         return s.map(check)
 
-    return run(text)
+    return F.coalesce(run(F.when(says(text, action), text)), F.lit(False))
+
+
+def unguarded(text: Column, action: str, before: str, before_width: int, after: str | None = None, after_width: int = 0, sentences: str = r"[。！？!?；;\n]") -> Column:
+    """:func:`unexcused` with one wording before the action (negation) and one behind it (note of danger)."""
+    guards = [Guard(before, left=before_width)] + ([Guard(after, right=after_width, where="behind")] if after else [])
+    return unexcused(text, action, guards, sentences)
 
 
 def grade(score: Column, steps: list[tuple[float, str]], missing: str, lowest: str) -> Column:
@@ -157,3 +218,9 @@ def names_contain(a: Column, b: Column, suffixes: str = "(?:汽车|轿车)$") ->
     x, y = F.regexp_replace(a, suffixes, ""), F.regexp_replace(b, suffixes, "")
     present = (F.length(a) > 0) & (F.length(b) > 0)
     return F.coalesce(present & ((x == y) | ((F.least(F.length(x), F.length(y)) >= 2) & (F.contains(x, y) | F.contains(y, x)))), F.lit(False))
+
+
+def models_contain(a: Column, b: Column) -> Column:
+    """As :func:`names_contain`, with nothing taken off."""
+    same = (a == b) | ((F.least(F.length(a), F.length(b)) >= 2) & (F.contains(a, b) | F.contains(b, a)))
+    return F.coalesce((F.length(a) > 0) & (F.length(b) > 0) & same, F.lit(False))

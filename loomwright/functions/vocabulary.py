@@ -19,9 +19,32 @@ SYSTEM = {
     "chassis": ["悬挂", "减震", "车轮", "轮胎", "轴承", "底盘", "suspension", "wheel bearing", "tire", "tyre"],
     "body": ["车门", "车窗", "天窗", "雨刮", "仪表", "车灯", "door", "window", "sunroof", "wiper", "headlight"],
 }
-# a few of the terms that anchor a text in the domain, and some that put it outside
-DOMAIN_TERMS = ["发动机", "变速箱", "制动", "刹车", "空调", "轮胎", "故障码", "ecu", "obd", "abs", "vin", "car", "vehicle", "engine", "brake", "steering", "battery", "clutch", "wheel", "tire"]
-FOREIGN_TERMS = ["printed circuit board", "pcb", "arduino", "raspberry pi", "bicycle", "变电站", "电网调度"]
+# terms that anchor a text in the domain
+DOMAIN_TERMS = [
+    "汽车", "车辆", "轿车", "客车", "车主", "行驶", "发动机", "变速箱", "变速器", "方向机", "制动", "刹车", "空调", "轮胎", "蓄电池", "动力电池", "故障码", "诊断仪",
+    "车门", "车窗", "后备箱", "中控锁", "门锁", "大灯", "前照灯", "雨刮", "雨刷", "凸轮轴", "曲轴", "连杆", "轴瓦", "正时", "离合器", "离合踏板", "助力泵",
+    "档位", "挡位", "挂挡", "换挡", "脱挡", "底盘", "悬架", "减震器", "车身控制", "点火开关", "起动机", "发电机", "火花塞", "喷油器", "节气门", "仪表灯", "里程表",
+    "ecu", "bcm", "obd", "can总线", "can通信", "abs", "vin",
+    "car", "vehicle", "truck", "engine", "transmission", "gearbox", "brake", "steering", "battery", "clutch", "wheel", "tire", "tyre", "radiator", "alternator", "starter", "motorcycle",
+    "camshaft", "crankshaft", "timing belt", "timing chain", "headlight", "wiper", "door lock",
+]
+# terms that put a text outside
+FOREIGN_TERMS = [
+    "printed circuit board", "pcb", "solder pad", "arduino", "raspberry pi", "bicycle", "mountain bike", "pedal bike", "garage bill", "legal advice", "insurance claim",
+    "insect", "bug remains", "car wash", "detailing wax", "直流母线", "交流滤波器", "值班调控", "换流站", "抽油机", "油井", "接户线", "配电线路", "电网调度", "电厂", "变电站", "绕组接地", "备用排污泵",
+]
+# a foreign term that doesn't count beside a domain term, and an animal that only counts with wording of pests
+EXCUSED_TERM = "pcb"
+PEST = r"\bspiders?\b"
+PEST_WORDING = r"\b(?:get\s+rid\s+of|remove|kill|poison|fog|infest(?:ed|ation)?|nest(?:ing)?)\b|\b(?:inside|within)\s+(?:my\s+|the\s+)?(?:car|vehicle)\b"
+# safety devices put out of action, and power lines rerouted
+UNSAFE_CHANGE = r"(?:短接|屏蔽|绕过|拆除|禁用).{0,45}(?:高压互锁|安全联锁)|(?:高压互锁|安全联锁).{0,45}(?:短接|屏蔽|绕过|拆除|禁用)|(?:改线|改接|强制接通).{0,60}(?:充电|高压|动力电池)|(?:充电|高压|动力电池).{0,60}(?:改线|改接|强制接通)|(?i:(?:bypass|disable|defeat).{0,50}high[- ]voltage\s+interlock|high[- ]voltage\s+interlock.{0,50}(?:bypass|disable|defeat))"
+# the declared vehicle, wording of ownership before a mention, comparisons, and what may precede a mention at the start
+DECLARED_VEHICLE = r"汽车品牌和车型信息\s*[:：]\s*(.+?)(?:(?:,|，)\s*请回答|(?:,|，)|请回答|$)"
+NO_BRAND = ["其他", "其他品牌", "未知", "未知品牌"]
+OWNED = r"(?:我(?:的|有(?:一辆|一台|一款)?|开的是)|本人(?:的)?|这辆|这台|车型(?:是|为)|车(?:型)?是).{0,8}$"
+COMPARED = r"(?:对比|相比|比较|区别|哪个好|哪款好|还是选|和.{0,12}比)"
+YEAR_ONLY = r"^(?:\d{2,4}年?(?:款)?)?$"
 RISK_TERMS = {
     "risk_brake": ["brake", "制动", "刹车"],
     "risk_lifting": ["jack stand", "jack up", "举升", "千斤顶"],
@@ -77,3 +100,28 @@ BYPASS_TOLD = r"\b(?:how\s+(?:to|can|do)|you\s+can|you\s+should|try\s+to|need\s+
 CASE_WORDING = r"一辆|一台|该车|本车|进厂|进店|送修|车主反映|故障现象|行驶里程|维修案例|经检查"
 UPKEEP_WORDING = r"保养|维护|库存电池|存放|定期充电"
 # ---------------------------------------------------------------------------------------------
+
+# --- fixed values: wording of answers that breaks a rule, and what excuses it ------------------
+ANSWER_META = r"证据|候选(?:Evidence)?|检索结果|同类系统|类似案例|参考案例|不能直接套用|不可直接套用|迁移(?:检查|方法|结论)|作为排查参考"
+REASON_ONLY_SIMILAR = r"(?:仅|只是).{0,12}(?:类似|相似)|(?:采用|属于|应走|按).{0,8}(?:类比|analogy)|(?:车型|主要现象|触发工况).{0,12}(?:明显)?(?:不同|不一致|不匹配)"
+REASON_REUSES = r"(?:采用|选择|判定为|按).{0,8}(?:类比|analogy)|可(?:以)?迁移|(?:能够|适合|尝试)迁移.{0,8}(?:检查|方法|思路)|故选(?:择)?为?.{0,4}(?:类比|analogy)|可(?:以)?复用|(?:采用|借用).{0,20}(?:证据|检查|方法|原则|思路)"
+REASON_DENIES = r"(?:无|不|未|缺乏|不能|不可|无法).{0,8}$"
+REASON_MATCHES = r"(?:系统|主要现象|触发工况).{0,20}(?:完全|高度).{0,5}(?:一致|匹配)|(?:完全|高度).{0,8}(?:一致|匹配).{0,12}(?:直接采用|matched)"
+ANSWER_PROCEDURE = r"拆(?:下|卸|开)|拔(?:下|出|掉)|短接|跨接|泄压|打磨|恢复出厂|刷写|重装系统|松开.{0,12}螺栓|断开.{0,12}(?:蓄电池|电瓶|高压|线束|插头)|用(?:万用表|试灯|缸压表|压力表|诊断仪)"
+PROFESSIONAL = r"专业|技师|维修人员|维修店|维修点|服务中心|授权|具备资质"
+ACTION_NEGATED = r"(?:(?:不要|切勿|严禁|不得|避免|不建议|禁止|无需|不必|不可|不能|请勿|不应|无法(?:提供|确定|给出)?).{0,24}|[不未])$"
+ACTION_QUERIED = r"(?:是否|有没有|有无|是否已经|当前是否|之前是否|是否已).{0,20}$"
+ACTION_RISKY = r".{0,12}(?:涉及|存在|可能造成).{0,16}(?:风险|危险|受伤|损坏)"
+ACTION_WONDERED = r".{0,18}(?:是为了|原因).{0,32}(?:还是|是否)"
+ACTION_HARMLESS = r"拔出.{0,6}机油尺|抽出.{0,6}机油尺"
+ACTION_DANGEROUS = r"(?:靠近.{0,12}(?:排气管|尾气).{0,8}闻|闻(?:一下)?(?:尾气|排气|排气管气味))|(?:(?:堵住|夹住|捏住).{0,12}(?:真空管|进气管|管路))|(?:(?:串联|电流档).{0,30}(?:万用表|表笔|回路))|(?:断开.{0,12}(?:电瓶|蓄电池).{0,40}(?:串联|电流档|表笔))|(?:向(?:气缸|缸内).{0,12}(?:加|注入).{0,8}机油)|(?:拆检.{0,8}(?:缸盖|气门|高压系统|制动系统|转向系统))"
+RISKY_DRIVING = r"LCC|辅助驾驶|智能驾驶|智驾|幽灵刹车|ABS|制动|刹车|转向失灵|方向失控"
+ROAD_TEST = r"(?:试车|路试|低速行驶|驾驶|驶过|通过).{0,20}(?:减速带|坑洼|湿滑|急刹|复现|测试)|(?:录像|拍摄).{0,20}(?:行驶|故障发生|路况)"
+ROAD_SAFE = r"安全|空旷|停车场|不影响交通|低速|短时间|不要长时间|停止|立即停止|异常加剧|警告灯|具备资质|专业人员"
+ROAD_DANGEROUS = r"高速|急刹|紧急制动|失控|甩尾|打滑|持续.{0,8}(?:打死|极限)|反复.{0,8}(?:急刹|紧急制动)"
+FLUID_ASKED = r"(?:加|用|换).{0,8}(?:什么|哪种|哪一类)油|应该加什么油"
+FLUID_NAMED = r"机油|汽油|柴油|燃油|变速箱油|齿轮油|刹车油|制动液|冷却液|防冻液|助力油"
+FLUID_FUEL = r"汽油|柴油|燃油"
+CAUSE_NAMED = r"常见(?:原因|方向)|通常(?:指向|由于|与|是|指|表示|代表)|多半(?:是|来自)|可能(?:是|由|涉及|来自|与).{0,50}(?:故障|损坏|磨损|堵塞|异常|不良|问题|有关|相关|导致|引起)|(?:原因|故障点)(?:包括|有|为)"
+CLAIM_UNSOURCED = r"(?:通常|一般|往往|多数情况下|普遍).{0,50}(?:是|会|可|能|指|表示|代表|做工|意味着|说明|需要|取决于)"
+# ---------------------------------------------------------------------------------------------

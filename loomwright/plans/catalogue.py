@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import arrays as A, dependence, rules as R, text as X, vocabulary as V
 from ..operators import chunking, dedup, embedding, generation, names, recall, relations, retrieval
 from ..sources import files
+from . import normalise, pipeline, reports
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -183,15 +184,38 @@ def _sql_term(t: str, c: str) -> str:
     return f"regexp_matches({c}, {quoted('(^|[^a-z0-9])' + t + '([^a-z0-9]|$)')})" if R._PLAIN_TERM.fullmatch(t) else f"contains({c}, {quoted(t)})"
 
 
+def _sql_any(terms: list[str], c: str) -> str:
+    return "(" + " OR ".join(_sql_term(t, c) for t in terms) + ")"
+
+
+def _sql_reasons(c: str) -> str:
+    """Sorted list of the reasons that put a text outside."""
+    inside = _sql_any(V.DOMAIN_TERMS, c)
+    terms = [f"CASE WHEN {_sql_term(t, c)}{' AND NOT ' + inside if t == V.EXCUSED_TERM else ''} THEN {quoted(t)} END" for t in V.FOREIGN_TERMS]
+    terms.append(f"CASE WHEN regexp_matches({c}, {quoted(V.PEST)}) AND regexp_matches({c}, {quoted(V.PEST_WORDING)}) THEN 'spider' END")
+    return f"list_sort(list_filter([{', '.join(terms)}], lambda x: x IS NOT NULL))"
+
+
+def _sql_domain(c: str, default: str, auxiliary: str | None = None) -> str:
+    inside = _sql_any(V.DOMAIN_TERMS, c) + (f" OR {_sql_any(V.DOMAIN_TERMS, auxiliary)}" if auxiliary else "")
+    return f"CASE WHEN len({_sql_reasons(c)}) > 0 THEN 'non_automotive' WHEN {inside} THEN 'automotive' ELSE '{default}' END"
+
+
 @query(
-    f"WITH t AS (SELECT evidence_source_id, source_index, lower({sql_inline('question')}) AS q, lower({sql_inline('answer')}) AS a FROM d2_qa) SELECT evidence_source_id, source_index, "
-    + "CASE WHEN " + " OR ".join(_sql_term(t, "q") for t in V.FOREIGN_TERMS) + " THEN 'outside' WHEN " + " OR ".join(_sql_term(t, c) for t in V.DOMAIN_TERMS for c in ("q", "a")) + " THEN 'inside' ELSE 'uncertain' END AS domain, "
+    f"WITH t AS (SELECT evidence_source_id, source_index, lower({sql_inline('question')}) AS q, lower({sql_inline('answer')}) AS a FROM d2_qa) SELECT evidence_source_id, source_index, {_sql_domain('q', 'uncertain', 'a')} AS domain, {_sql_reasons('q')}::VARCHAR AS reasons, "
     + "list_sort(list_filter([" + ", ".join("CASE WHEN " + " OR ".join(_sql_term(t, "a") for t in ts) + f" THEN '{n}' END" for n, ts in V.RISK_TERMS.items()) + "], lambda x: x IS NOT NULL))::VARCHAR AS risks FROM t"
 )
 def domain_and_risks(spark, sf_dir):
     rows = table(spark, sf_dir, "d2_qa").select("evidence_source_id", "source_index", X.key(F.col("question"), False).alias("q"), X.key(F.col("answer"), False).alias("a"))
-    risks = F.concat(F.lit("["), F.array_join(R.term_flags(F.col("a"), V.RISK_TERMS), ", "), F.lit("]"))
-    return rows.select("evidence_source_id", "source_index", R.domain_of(F.col("q"), V.DOMAIN_TERMS, V.FOREIGN_TERMS, auxiliary=F.col("a")).alias("domain"), risks.alias("risks"))
+    shown = lambda c: F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]"))
+    return rows.select("evidence_source_id", "source_index", normalise.domain(F.col("q"), auxiliary=F.col("a")).alias("domain"), shown(normalise.foreign(F.col("q"))).alias("reasons"), shown(R.term_flags(F.col("a"), V.RISK_TERMS)).alias("risks"))
+
+
+@query(f"SELECT document_id, extracted_at, regexp_matches({sql_inline("coalesce(title, '') || ' ' || coalesce(text, '')")}, {quoted(V.UNSAFE_CHANGE)}) AS review, {sql_inline('title')} LIKE '%保养%' OR {sql_inline('title')} LIKE '%维护%' AS upkeep FROM d4_documents")
+def safety_reviews(spark, sf_dir):
+    """Documents that put safety devices out of action."""
+    both = X.inline(normalise.joined(F.col("title"), F.col("text")), False)
+    return table(spark, sf_dir, "d4_documents").select("document_id", "extracted_at", both.rlike(V.UNSAFE_CHANGE).alias("review"), X.inline(F.col("title"), False).rlike("保养|维护").alias("upkeep"))
 
 
 @query(f"WITH t AS (SELECT evidence_source_id, source_index, {sql_document('text')} AS t FROM d3_fault_texts) SELECT evidence_source_id, source_index, " + ", ".join(f"len(regexp_extract_all(t, {quoted('(?i)' + p)}))::INT AS {n}" for n, p in V.PROCESS_COUNTS.items()) + " FROM t")
@@ -426,15 +450,43 @@ def corpus_chunks(spark, sf_dir):
     return dedup.by_priority(narrow, ["k"], rank, ["o", "pt_id"]).select("pt_id", "source", "split", "size")
 
 
-@query()
-def vehicle_mentions(spark, sf_dir):
-    """Vehicles named in the queries against the declared one."""
-    catalogue = names.alias_catalogue(table(spark, sf_dir, "vehicle_catalogue"))
-    rows = table(spark, sf_dir, "d1_queries").select("query_id", "instruction_vehicle", "query").distinct()
-    keyed = rows.select("query_id", X.name_key(F.col("query")).alias("k"), F.concat(X.name_key(F.col("instruction_vehicle.brand")), X.name_key(F.col("instruction_vehicle.model"))).alias("declared"))
-    found = names.mentions(keyed, "query_id", "k", catalogue).groupBy("query_id").agg(F.array_sort(F.collect_set("alias")).alias("found"))
-    joined = keyed.select("query_id", "declared").join(found, "query_id", "left")
-    return joined.groupBy(names.consistency(F.col("declared"), F.col("found")).alias("status")).agg(F.count("*").alias("n"))
+def _sql_key(c: str) -> str:
+    return f"regexp_replace(lower({sql_inline(c)}), '[^a-z0-9\\x{{4e00}}-\\x{{9fff}}]+', '', 'g')"
+
+
+def _sql_within(a: str, b: str) -> str:
+    return f"({a} <> '' AND {b} <> '' AND ({a} = {b} OR (least(length({a}), length({b})) >= 2 AND (contains({a}, {b}) OR contains({b}, {a})))))"
+
+
+def _sql_bare(c: str) -> str:
+    return f"regexp_replace({c}, '(汽车|轿车)$', '')"
+
+
+SQL_ALIASES = (
+    f"k AS (SELECT DISTINCT {_sql_key('brand')} AS bk, {_sql_key('model')} AS mk FROM vehicle_catalogue WHERE brand IS NOT NULL AND model IS NOT NULL), p AS (SELECT * FROM k WHERE mk <> ''), "
+    "a AS (SELECT bk || mk AS alias, bk, mk, true AS whole FROM p UNION ALL SELECT mk, bk, mk, false FROM p WHERE len(regexp_extract_all(mk, '[\\x{4e00}-\\x{9fff}]')) >= 3 OR (len(regexp_extract_all(mk, '[\\x{4e00}-\\x{9fff}]')) >= 2 AND regexp_matches(mk, '[a-z0-9]'))), "
+    "o AS (SELECT alias, any_value(bk) AS bk, any_value(mk) AS mk, bool_or(whole) AS whole FROM a GROUP BY alias HAVING count(DISTINCT bk || chr(0) || mk) = 1), "
+    "o2 AS (SELECT * FROM o WHERE whole OR alias NOT IN (SELECT bk FROM p)), pattern AS (SELECT string_agg(alias, '|' ORDER BY length(alias) DESC, alias) AS re FROM o2)"
+)
+
+
+@query(
+    f"WITH {SQL_ALIASES}, q AS (SELECT DISTINCT query_id, {_sql_key('query')} AS key, instruction_vehicle IS NOT NULL AS declared, {_sql_key('instruction_vehicle.brand')} AS db, {_sql_key('instruction_vehicle.model')} AS dm FROM d1_queries), "
+    "u AS (SELECT DISTINCT key FROM q), f AS (SELECT key, regexp_extract_all(key, re) AS m, string_split_regex(key, re) AS parts FROM u, pattern), "
+    "x AS (SELECT key, unnest(range(1, len(m) + 1)) AS i, m, parts FROM f), "
+    "y AS (SELECT key, m[i] AS alias, coalesce(list_sum(list_transform(parts[1:i], lambda v: length(v))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) AS start FROM x), "
+    "z AS (SELECT y.key, y.alias, start, substr(y.key, (greatest(start - 20, 0) + 1)::BIGINT, least(start, 20)::BIGINT) AS before, o2.bk, o2.mk, o2.whole FROM y JOIN o2 USING (alias)), "
+    f"g AS (SELECT query_id, declared, db, dm, q.key, count(z.alias) AS n, bool_or({_sql_within(_sql_bare('z.bk'), _sql_bare('db'))} OR {_sql_within('z.mk', 'dm')}) AS own, "
+    f"bool_or(regexp_matches(before, {quoted(V.OWNED)}) OR (whole AND regexp_matches(before, {quoted(V.YEAR_ONLY)}))) AS claimed, bool_or(whole) AS named, string_agg(z.alias, '|' ORDER BY start) AS mentions FROM q LEFT JOIN z ON q.key = z.key GROUP BY 1, 2, 3, 4, 5) "
+    f"SELECT query_id, coalesce(mentions, '') AS mentions, CASE WHEN NOT declared OR db IN ({', '.join(map(quoted, V.NO_BRAND))}) THEN 'unknown' WHEN n = 0 THEN 'no_explicit_vehicle' WHEN own THEN 'consistent' WHEN regexp_matches(key, {quoted(V.COMPARED)}) THEN 'review' WHEN claimed THEN 'conflict' WHEN named THEN 'review' ELSE 'no_explicit_vehicle' END AS status FROM g"
+)
+def vehicle_contexts(spark, sf_dir):
+    """The vehicles that each query names, and how they stand to the declared one."""
+    catalogue = names.alias_catalogue(table(spark, sf_dir, "vehicle_catalogue"), compose=False)
+    rows = table(spark, sf_dir, "d1_queries").select("query_id", X.name_key(F.col("query"), False).alias("key"), "instruction_vehicle").distinct()
+    rows = rows.withColumn("found", names.mention_arrays(F.col("key"), catalogue, False))
+    status = names.vehicle_context(F.col("instruction_vehicle"), F.col("key"), F.col("found"), False)
+    return rows.select("query_id", F.array_join(F.transform("found", lambda m: m["alias"]), "|").alias("mentions"), status.alias("status"))
 
 
 @query()
@@ -469,18 +521,183 @@ def document_kinds(spark, sf_dir):
     return rows.select("document_id", "s.*", dependence.has_process(F.col("s")).alias("process"), dependence.document_kind(F.col("t"), F.col("b"), F.col("s")).alias("kind")).distinct()
 
 
-@query()
+RECALL_QUOTE = "诊断仪读出故障码"
+EXCLUDED = ["d3_excluded_by_hand"]  # the test tables name no exclusions
+
+
+@query(
+    f"WITH t AS (SELECT evidence_source_id AS id, list_contains(flags, 'no_diagnosis_process') AND NOT list_has_any(flags, ['empty', 'off_topic', 'uncertain_domain']) AS wanted, {sql_document('text')} AS text FROM d3_fault_texts), "
+    "u AS (SELECT id, min(text) AS text FROM t WHERE wanted GROUP BY id), "
+    f"v AS (SELECT id, contains({sql_inline('text')}, {quoted(RECALL_QUOTE)}) AS held, id IN ('d3_excluded_by_hand') AS excluded FROM u) "
+    "SELECT id, excluded, held AND NOT excluded AS accepted, CASE WHEN held THEN '' ELSE 'unsupported_action_quotes,unsupported_finding_quotes' END AS errors FROM v"
+)
 def recalled_texts(spark, sf_dir):
-    """Fault texts without a process, decided on by an offline model: codes of refused decisions and accepted ones."""
-    rows = table(spark, sf_dir, "d3_fault_texts").where("text is not null").groupBy(F.col("evidence_source_id").alias("id")).agg(F.min("text").alias("text"))
-    answer = {"decision": "recall", "label": "diagnostic_case", "confidence": "high", "unsafe_operation": False, "reason": "offline", "supporting_quotes": ["诊断仪读出故障码"], "action_quotes": [], "finding_quotes": [], "verification_quotes": []}
-    done = recall.decide(rows, None, generation.constant_provider(answer), "d3", "offline", "1", ["diagnostic_case", "other"], ["diagnostic_case"])
-    return done.groupBy("accepted", F.array_join("errors", ",").alias("errors")).agg(F.count("*").alias("n"))
+    """Fault texts without a process, decided on by an offline model that quotes one phrase; nobody has excluded any."""
+    rows = table(spark, sf_dir, "d3_fault_texts").drop("semantic_recall")
+    answer = {"decision": "recall", "label": "diagnostic_case", "confidence": "high", "unsafe_operation": False, "reason": "offline", "supporting_quotes": [], "action_quotes": [RECALL_QUOTE], "finding_quotes": [RECALL_QUOTE], "verification_quotes": []}
+    decisions, _, _ = recall.second_look(rows, recall.FAULTS, generation.constant_provider(answer), "offline", {"manual_exclusions": {"d3": EXCLUDED}}, compose=False)
+    return decisions.select("id", "excluded", "accepted", F.array_join("errors", ",").alias("errors"))
 
 
-@query()
+@query(f"SELECT split, count(*) AS n, 512 AS dim, round(avg(CASE WHEN q = '' THEN 0 ELSE 1 END), 4) AS norm FROM (SELECT DISTINCT split, lower({sql_inline('query')}) AS q FROM d1_queries) GROUP BY 1")
 def text_vectors(spark, sf_dir):
     """Vectors of the queries by the hashing backend: dimensions and mean norm per split."""
-    rows = table(spark, sf_dir, "d1_queries").select("split", X.key(F.col("query")).alias("q")).distinct()
-    vectors = embedding.embed(rows, "q", embedding.hashing_encoder(64))
+    rows = table(spark, sf_dir, "d1_queries").select("split", X.key(F.col("query"), False).alias("q")).distinct()
+    vectors = embedding.embed(rows, "q", embedding.hashing_encoder())
     return vectors.groupBy("split").agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim"), F.round(F.avg(A.cosine(F.col("vector"), F.col("vector"))), 4).alias("norm"))
+
+
+# --- stages over the test tables --------------------------------------------------------------------------------
+def _raw_queries(spark, sf_dir):
+    return table(spark, sf_dir, "d1_queries").select("source_index", "instruction", F.col("query").alias("input"), F.col("base_answer").alias("output"))
+
+
+def _raw_answers(spark, sf_dir):
+    return table(spark, sf_dir, "d2_qa").select("source_index", F.col("question").alias("input"), F.col("answer").alias("output"), "metadata")
+
+
+def _raw_faults(spark, sf_dir):
+    return table(spark, sf_dir, "d3_fault_texts").select("source_index", F.col("text").alias("input"), F.array_join("weak_labels", ",").alias("output"))
+
+
+def _sql_id(prefix: str, *parts: str) -> str:
+    return f"'{prefix}_' || substr(sha256({' || chr(0) || '.join(parts)}), 1, 16)"
+
+
+def _sql_split(c: str, train: int, validation: int) -> str:
+    return f"CASE WHEN {sql_bucket(c)} < {train} THEN 'train' WHEN {sql_bucket(c)} < {train + validation} THEN 'validation' ELSE 'test' END"
+
+
+def _sql_flags(*pairs: tuple[str, str]) -> str:
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in pairs) + "], lambda x: x IS NOT NULL), ',')"
+
+
+@query(
+    f"WITH n AS (SELECT source_index, {sql_inline('instruction')} AS i, {sql_inline('query')} AS q, {sql_document('base_answer')} AS a FROM d1_queries), t AS (SELECT *, lower(trim(i || ' ' || q)) AS k, lower(i || ' ' || q) AS t FROM n), "
+    f"d AS (SELECT *, {_sql_domain('t', 'uncertain')} AS domain_status, q = '' OR a = '' AS empty, {_sql_scores()} FROM t), "
+    "f AS (SELECT k, min(source_index) AS first FROM d WHERE NOT empty AND domain_status = 'automotive' GROUP BY k), e AS (SELECT d.*, coalesce(source_index > first, false) AS dup FROM d LEFT JOIN f USING (k)) "
+    f"SELECT {_sql_id('d1', 'k')} AS query_id, source_index, q AS query, a AS base_answer, domain_status, {_sql_first()} AS powertrain, {_sql_best()} AS system, {_sql_split('k', 90, 5)} AS split, "
+    f"{_sql_flags(('empty', 'empty'), ('duplicate_query', 'dup'), ('off_topic', "domain_status <> 'automotive'"))} AS flags, NOT (empty OR dup OR domain_status <> 'automotive') AS kept FROM e"
+)
+def normalised_queries(spark, sf_dir):
+    """Questions with labels, flags and a split; vehicles are left to vehicle_contexts."""
+    none = spark.createDataFrame([], "alias string, brand string, model string, whole boolean")
+    rows = normalise.queries(_raw_queries(spark, sf_dir), none, compose=False)
+    return rows.select("query_id", "source_index", "query", "base_answer", "domain_status", "powertrain", "system", "split", F.array_join("flags", ",").alias("flags"), "kept")
+
+
+@query(
+    f"WITH n AS (SELECT source_index, {sql_inline('question')} AS q, {sql_document('answer')} AS a FROM d2_qa), t AS (SELECT *, lower(q) AS k, lower(q || chr(10) || a) AS t FROM n), d AS (SELECT *, {_sql_domain('k', 'automotive')} AS domain_status, {_sql_scores()} FROM t) "
+    f"SELECT {_sql_id('d2', 'q', 'a')} AS evidence_source_id, source_index, q AS question, a AS answer, domain_status, {_sql_first()} AS powertrain, {_sql_best()} AS system, {_sql_split('k', 90, 5)} AS split, NOT (q = '' OR a = '' OR domain_status = 'non_automotive') AS kept FROM d"
+)
+def normalised_answers(spark, sf_dir):
+    rows = normalise.answers(_raw_answers(spark, sf_dir), compose=False)
+    return rows.select("evidence_source_id", "source_index", "question", "answer", "domain_status", "powertrain", "system", "split", "kept")
+
+
+@query(
+    f"WITH n AS (SELECT source_index, {sql_document('text')} AS b, {sql_document("array_to_string(weak_labels, ',')")} AS w FROM d3_fault_texts), t AS (SELECT *, lower({sql_inline('b')}) AS t FROM n), d AS (SELECT *, {_sql_domain('t', 'uncertain', 'lower(w)')} AS domain_status, {_sql_scores()} FROM t) "
+    f"SELECT {_sql_id('d3', 'b')} AS evidence_source_id, source_index, b AS text, w AS weak_labels, domain_status, {_sql_first()} AS powertrain, {_sql_best()} AS system, {_sql_flags(('empty', "b = ''"), ('off_topic', "domain_status = 'non_automotive'"), ('uncertain_domain', "domain_status = 'uncertain'"))} AS flags FROM d"
+)
+def normalised_faults(spark, sf_dir):
+    rows = normalise.faults(_raw_faults(spark, sf_dir), compose=False)
+    flags = F.array_join(F.filter("flags", lambda f: f != "no_diagnosis_process"), ",").alias("flags")
+    return rows.select("evidence_source_id", "source_index", "text", "weak_labels", "domain_status", "powertrain", "system", flags)
+
+
+@query(
+    f"WITH n AS (SELECT source_index, {sql_inline('question')} AS q, {sql_document('answer')} AS a FROM d2_qa), d AS (SELECT *, lower({sql_inline('q || chr(10) || a')}) AS t FROM n), e AS (SELECT *, {_sql_domain('t', 'uncertain')} AS s FROM d) "
+    f"SELECT {_sql_id('legacy', 'q', 'a')} AS sample_id, source_index, q AS question, a AS answer, {_sql_flags(('empty', "q = '' OR a = ''"), ('off_topic', "s <> 'automotive'"))} AS flags, NOT (q = '' OR a = '' OR s <> 'automotive') AS kept FROM e"
+)
+def normalised_conversations(spark, sf_dir):
+    """The question and answer pairs as ready-made conversations."""
+    raw = files.conversations(table(spark, sf_dir, "d2_qa").select("source_index", "question", "answer"), "question", "answer")
+    rows = normalise.conversations(raw.select("source_index", "conversations"), compose=False)
+    return rows.select("sample_id", "source_index", "question", "answer", F.array_join("flags", ",").alias("flags"), "kept")
+
+
+@query(
+    f"WITH n AS (SELECT document_id, extracted_at, media_count, {sql_inline('title')} AS i, {sql_document('text')} AS b FROM d4_documents), t AS (SELECT *, {sql_inline("i || ' ' || b")} AS v FROM n), u AS (SELECT *, lower(v) AS t FROM t), d AS (SELECT *, {_sql_scores()} FROM u) "
+    f"SELECT document_id, extracted_at, i AS title, length(b) AS chars, {_sql_first()} AS powertrain, {_sql_best()} AS system, {_sql_split('document_id', 80, 10)} AS split, {_sql_flags(('empty', "b = ''"), ('needs_image', 'coalesce(media_count, 0) > 0 AND length(b) < 300'), ('safety_review', f'regexp_matches(v, {quoted(V.UNSAFE_CHANGE)})'))} AS flags FROM d"
+)
+def normalised_documents(spark, sf_dir):
+    rows = normalise.documents(table(spark, sf_dir, "d4_documents").select("document_id", "title", "text", "media_count", "extracted_at"), compose=False)
+    flags = F.array_join(F.array_compact(F.array(*[F.when(F.array_contains("flags", f), f) for f in ("empty", "needs_image", "safety_review")])), ",").alias("flags")
+    return rows.select("document_id", "extracted_at", "title", F.length("text").alias("chars"), "powertrain", "system", "split", flags)
+
+
+def _sql_tally(section: str, source: str, label: str, where: str = "true") -> str:
+    return f"SELECT '{section}' AS section, ({label})::VARCHAR AS label, count(*) AS n FROM {source} WHERE {where} AND ({label}) IS NOT NULL GROUP BY 2"
+
+
+@query(
+    " UNION ALL ".join(
+        [
+            _sql_tally("queries", "retrieval_results", "'all'"), _sql_tally("status", "retrieval_results", "retrieval_status"), _sql_tally("reason", "retrieval_results", "no_candidate_reason"),
+            _sql_tally("candidate_count", "retrieval_results", "coalesce(len(candidates), 0)"), _sql_tally("source", "(SELECT unnest(candidates) AS c FROM retrieval_results)", "c.source"), _sql_tally("first_source", "retrieval_results", "candidates[1].source"),
+        ]
+    )
+)
+def retrieval_totals(spark, sf_dir):
+    return reports.retrieval_report(table(spark, sf_dir, "retrieval_results"))
+
+
+def _sql_packed(text: str, most: int, least: int) -> str:
+    """List of the chunks of a text: lines packed by a fold over the lines, long lines sliced."""
+    lines = f"list_filter(list_transform(string_split({text}, chr(10)), lambda l: trim(l)), lambda l: l <> '')"
+    slices = f"list_transform(range(0, length(l), {most}), lambda i: substr(l, (i + 1)::BIGINT, {most}))"
+    start = "{'done': []::VARCHAR[], 'pack': '', 'size': 0::BIGINT, 'l': ''}"
+    items = f"list_transform({lines}, lambda l: {{'done': []::VARCHAR[], 'pack': '', 'size': 0::BIGINT, 'l': l}})"
+    flush = "CASE WHEN s.size > 0 THEN list_append(s.done, s.pack) ELSE s.done END"
+    step = (
+        f"CASE WHEN length(x.l) > {most} THEN {{'done': list_concat({flush}, {slices.replace('length(l)', 'length(x.l)').replace('substr(l,', 'substr(x.l,')}), 'pack': '', 'size': 0::BIGINT, 'l': ''}} "
+        f"WHEN s.size > 0 AND s.size + length(x.l) + 1 > {most} THEN {{'done': list_append(s.done, s.pack), 'pack': x.l, 'size': (length(x.l) + 1)::BIGINT, 'l': ''}} "
+        "ELSE {'done': s.done, 'pack': CASE WHEN s.size > 0 THEN s.pack || chr(10) || x.l ELSE x.l END, 'size': (s.size + length(x.l) + 1)::BIGINT, 'l': ''} END"
+    )
+    end = f"list_reduce(list_prepend({start}, {items}), lambda s, x: {step})"
+    folded = f"list_transform([{end}], lambda s: {flush})[1]"
+    return f"list_filter(CASE WHEN length({text}) <= {most} THEN [{text}] ELSE {folded} END, lambda c: length(c) >= {least})"
+
+
+@query(
+    f"WITH t AS (SELECT doc_id, {sql_document('text')} AS t FROM documents), c AS (SELECT doc_id, {_sql_packed('t', 400, 40)} AS cs FROM t) "
+    "SELECT doc_id, (i - 1)::INT AS chunk_index, cs[i] AS chunk FROM (SELECT doc_id, cs, unnest(range(1, len(cs) + 1)) AS i FROM c)"
+)
+def line_chunks(spark, sf_dir):
+    """Chunks of up to 400 signs of the documents' lines."""
+    return chunking.exploded(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", 400, 40, compose=False).select("doc_id", "chunk_index", "chunk")
+
+
+@query()
+def stage_totals(spark, sf_dir):
+    """The stages in a row over the whole tables, with the hashing backend and an offline model: normalise, evidence, retrieval, rewriting, QA, export; their reports."""
+    from ..session import stored
+
+    queries, _ = normalise.two_way(stored(normalise.queries(_raw_queries(spark, sf_dir)), "stage-queries"))
+    answers, _ = normalise.two_way(stored(normalise.answers(_raw_answers(spark, sf_dir)), "stage-answers"))
+    found_faults, set_aside = normalise.two_way(stored(normalise.faults(_raw_faults(spark, sf_dir)), "stage-faults"))
+    docs, _ = normalise.two_way(stored(normalise.documents(table(spark, sf_dir, "d4_documents").drop("char_count")), "stage-documents"))
+    wide = lambda df, c, source: df.select(F.col(c).alias("record_id"), F.lit(source).alias("source"), "split", "text", "powertrain", "system").dropDuplicates(["record_id"])
+    qa_text = answers.withColumn("text", F.concat(F.lit("Question: "), "question", F.lit("\n\nAnswer: "), "answer"))
+    evidence_rows = stored(pipeline.build_evidence([wide(qa_text, "evidence_source_id", "d2"), wide(found_faults, "evidence_source_id", "d3"), wide(docs, "document_id", "d4")]), "stage-evidence")
+    asked = queries.dropDuplicates(["query_id"]).where(F.pmod("source_index", F.lit(20)) == 0)  # the stated set of searches, against all evidence
+    asked = stored(asked.withColumns({"symptom": X.key(F.col("query")), "context": X.key(normalise.joined(F.col("instruction"), F.col("query")))}), "stage-asked")
+    results = stored(pipeline.retrieve(asked, evidence_rows, embedding.hashing_encoder(), retrieval.RetrievalConfig(min_score=0.2)), "stage-retrieval")
+    answer = {"route": "no_evidence", "answer": "目前的资料还不足以判断。请先记录出现的条件、次数和仪表提示,再把车辆交给有资质的人员逐项确认,结果出来之前先停用。", "reason": "", "selected_evidence_ids": []}
+    rewritten = stored(pipeline.rewrite(results, asked, evidence_rows, generation.constant_provider(answer)), "stage-rewrites")
+    made = {"usable": True, "question": "这条记录反映了什么问题?请说明检查的顺序。", "answer": "应先核对现象和出现的条件,再按照记录中的顺序确认相关部件、线路和测量结果,逐项排除后再作判断。"}
+    qa = stored(pipeline.evidence_qa(evidence_rows, rewritten, generation.constant_provider(made), 500), "stage-qa")
+    candidates = stored(pipeline.generated_candidates(rewritten, qa, asked, with_mock=True, mock=True), "stage-candidates")
+    samples, refused, review = pipeline.export_sft([candidates], risks=pipeline.evidence_risks(evidence_rows))
+    name = lambda df, stage: df.select(F.lit(stage).alias("stage"), "section", "label", "n")
+    parts = [
+        name(reports.normalise_report(normalise.with_kept(set_aside, [])), "faults set aside"),
+        name(reports.retrieval_report(results.withColumn("candidates", F.transform("candidates", lambda c: F.struct(c["evidence_id"].alias("evidence_id"), F.lit("all").alias("source")))), reason="reason"), "retrieval"),
+        name(reports.tallies(rewritten, {"route": F.col("route"), "error": F.col("errors")}), "rewriting"),
+        name(reports.tallies(qa, {"source": F.col("source"), "error": F.col("errors")}), "qa"),
+        name(reports.export_report(candidates, refused, samples, review), "export"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -25,10 +25,18 @@ def build_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return builder.config(map=defaults | conf).getOrCreate()
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any file system that Spark knows."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is set (tests, one machine)."""
+    """The folder all executors share; a temporary one only where none is set on one machine (tests)."""
     path = spark.conf.get(CHECKPOINT_SETTING, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
         path = "file://" + os.path.join(tempfile.gettempdir(), f"loomwright-{os.getpid()}")
         spark.conf.set(CHECKPOINT_SETTING, path)
     return path.rstrip("/")

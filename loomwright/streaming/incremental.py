@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from ..session import exists
+
 
 def landing(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int = 100) -> DataFrame:
     """A stream of JSON lines files that appear in a folder."""
@@ -18,12 +20,8 @@ def only_new(stream: DataFrame, keys: list[str], out: str, checkpoint: str, tran
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         fresh = batch.dropDuplicates(keys)
-        try:
-            done = spark.read.parquet(out).select(*keys)
-        except Exception:
-            done = None
-        if done is not None:
-            fresh = fresh.join(done, keys, "left_anti")
+        if exists(spark, out):  # a read that fails is an error, not an empty folder
+            fresh = fresh.join(spark.read.parquet(out).select(*keys), keys, "left_anti")
         transform(fresh).write.mode("append").parquet(out)
 
     return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
