@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import arrays as A, dependence, rules as R, text as X, vocabulary as V
@@ -341,42 +343,83 @@ def cache_hits(spark, sf_dir):
 
 # --- retrieval -----------------------------------------------------------------------------------------
 def _vectors(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("evidence_id"), F.col("embedding").alias("vector"), F.concat(F.lit("s"), F.col("label")).alias("system"))
+    """The vectors with a split, a system, a powertrain and fault codes made from label and id."""
+    label, n = F.col("label"), F.col("vec_id")
+    codes = F.when(n % 3 == 0, F.array(F.concat(F.lit("p0"), (label % 7 + 100).cast("string")))).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf_dir, "embeddings").select(
+        n.alias("evidence_id"), n.alias("source_record_id"), F.col("embedding").alias("vector"), F.concat(F.lit("g"), n % 2).alias("split"), F.concat(F.lit("s"), label).alias("system"),
+        F.when(n % 5 < 2, "bev").when(n % 5 < 4, "ice").otherwise("unknown").alias("powertrain"), codes.alias("literals"),
+    )
 
 
 def _queries(vectors: DataFrame) -> DataFrame:
     return vectors.where("evidence_id % 20 = 0").withColumnRenamed("evidence_id", "query_id")
 
 
+_SQL_POWER = "CASE WHEN {0}.vec_id % 5 < 2 THEN 'bev' WHEN {0}.vec_id % 5 < 4 THEN 'ice' ELSE 'unknown' END"
 SQL_NEAREST = (
-    "SELECT q.vec_id AS query_id, e.vec_id AS evidence_id, list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS raw, round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score, 's' || q.label AS qs, 's' || e.label AS es, "
-    "row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 12) DESC, e.vec_id) AS raw_rank FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0"
+    "SELECT q.vec_id AS query_id, e.vec_id AS evidence_id, e.embedding::DOUBLE[] AS vec, list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS raw, round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS score, "
+    f"'s' || q.label AS qs, 's' || e.label AS es, {_SQL_POWER.format('q')} AS qp, {_SQL_POWER.format('e')} AS ep, q.vec_id % 3 = 0 AND e.vec_id % 3 = 0 AND q.label % 7 = e.label % 7 AS same_code, "
+    "row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 12) DESC, e.vec_id) AS raw_rank FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0 AND q.vec_id % 2 = e.vec_id % 2"
+)
+SQL_RESCORED = (
+    "SELECT *, round(raw + CASE WHEN qs = es THEN 0.02 ELSE -0.03 END + CASE WHEN qp <> 'unknown' AND ep <> 'unknown' AND qp <> ep THEN -0.01 ELSE 0 END + CASE WHEN same_code THEN 0.05 ELSE 0 END, 6) AS adjusted "
+    f"FROM ({SQL_NEAREST}) WHERE raw_rank <= 50 AND raw >= 0.2"
 )
+FLOOR = dict(min_score=0.2, system_bonus=0.02, system_penalty=0.03)
 
 
 @query(f"SELECT query_id, evidence_id, score, raw_rank FROM ({SQL_NEAREST}) WHERE raw_rank <= 10")
 def nearest_vectors(spark, sf_dir):
+    """The ten nearest vectors of the same split."""
     vectors = _vectors(spark, sf_dir)
-    found = retrieval.nearest(_queries(vectors), vectors, 10)
+    found = retrieval.nearest(_queries(vectors), vectors, 10, "split")
     return found.select("query_id", "evidence_id", F.round("raw_score", 6).alias("score"), "raw_rank")
 
 
 def _rescored(spark, sf_dir, cfg) -> DataFrame:
-    vectors = _vectors(spark, sf_dir).withColumns({"powertrain": F.lit(None).cast("string"), "literals": F.lit(None).cast("array<string>"), "source_record_id": F.col("evidence_id")})
+    vectors = _vectors(spark, sf_dir)
     queries = _queries(vectors)
-    return retrieval.rescored(retrieval.nearest(queries, vectors, cfg.pool), queries, vectors, cfg)
+    return retrieval.rescored(retrieval.nearest(queries, vectors, cfg.pool, "split"), queries, vectors, cfg)
 
 
-@query(f"SELECT query_id, evidence_id, round(raw + CASE WHEN qs = es THEN 0.02 ELSE -0.03 END, 6) AS adjusted FROM ({SQL_NEAREST}) WHERE raw_rank <= 50 AND raw >= 0.2")
+@query(f"SELECT query_id, evidence_id, adjusted FROM ({SQL_RESCORED})")
 def rescored_vectors(spark, sf_dir):
-    cfg = retrieval.RetrievalConfig(min_score=0.2, system_bonus=0.02, system_penalty=0.03)
-    return _rescored(spark, sf_dir, cfg).select("query_id", "evidence_id", F.col("adjusted_score").alias("adjusted"))
+    return _rescored(spark, sf_dir, retrieval.RetrievalConfig(**FLOOR)).select("query_id", "evidence_id", F.col("adjusted_score").alias("adjusted"))
 
 
-@query()
+@query(
+    f"WITH RECURSIVE c AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY adjusted DESC, raw_rank) AS rn FROM ({SQL_RESCORED})), "
+    "walk AS (SELECT query_id, 0::BIGINT AS rn, []::BIGINT[] AS ids, []::DOUBLE[][] AS vecs FROM (SELECT DISTINCT query_id FROM c) UNION ALL "
+    "SELECT c.query_id, c.rn, CASE WHEN coalesce(list_max(list_transform(vecs, lambda v: list_inner_product(v, c.vec))), -2) < 0.5 THEN list_append(ids, c.rn) ELSE ids END, "
+    "CASE WHEN coalesce(list_max(list_transform(vecs, lambda v: list_inner_product(v, c.vec))), -2) < 0.5 THEN list_append(vecs, c.vec) ELSE vecs END FROM walk w JOIN c ON c.query_id = w.query_id AND c.rn = w.rn + 1), "
+    "k AS (SELECT query_id, unnest(ids) AS rn, generate_subscripts(ids, 1) AS pos FROM (SELECT query_id, max_by(ids, rn) AS ids FROM walk GROUP BY 1)), "
+    "r AS (SELECT c.*, pos FROM k JOIN c USING (query_id, rn)), t AS (SELECT query_id, count(DISTINCT es) FILTER (pos <= 5) AS systems, max(es) FILTER (pos = 1) AS top, max(adjusted) FILTER (pos = 1) AS best FROM r GROUP BY 1), "
+    "o AS (SELECT query_id, min(pos) AS other FROM r JOIN t USING (query_id) WHERE systems <= 1 AND pos > 5 AND es <> top AND adjusted >= best - 0.3 GROUP BY 1), "
+    "f AS (SELECT r.* FROM r LEFT JOIN o USING (query_id) WHERE CASE WHEN other IS NULL THEN pos <= 5 ELSE pos <= 4 OR pos = other END) "
+    "SELECT query_id, evidence_id, adjusted, score AS raw, es AS system, row_number() OVER (PARTITION BY query_id ORDER BY adjusted DESC, pos)::INT AS rank FROM f"
+)
 def selected_vectors(spark, sf_dir):
-    cfg = retrieval.RetrievalConfig(min_score=0.2, dedup_similarity=0.5, diversity_margin=0.3)
-    return retrieval.selected(_rescored(spark, sf_dir, cfg), cfg)
+    """The five best that are not too close to each other, with room for another system."""
+    cfg = retrieval.RetrievalConfig(**FLOOR, dedup_similarity=0.5, diversity_margin=0.3)
+    rows = retrieval.selected(_rescored(spark, sf_dir, cfg), cfg)
+    return rows.select("query_id", "evidence_id", F.col("adjusted_score").alias("adjusted"), F.round("raw_score", 6).alias("raw"), "system", "rank")
+
+
+@query(
+    f"WITH c AS (SELECT * FROM ({SQL_NEAREST}) WHERE raw_rank <= 50), s AS (SELECT * FROM ({SQL_RESCORED})) SELECT 'step' AS section, * FROM (SELECT 'pooled' AS label, count(*) AS n FROM c UNION ALL SELECT 'below_min_score', count(*) FROM c WHERE raw < 0.2 UNION ALL SELECT 'rescored', count(*) FROM s "
+    "UNION ALL SELECT 'system_bonus', count(*) FROM s WHERE qs = es UNION ALL SELECT 'system_penalty', count(*) FROM s WHERE qs <> es UNION ALL SELECT 'powertrain_penalty', count(*) FROM s WHERE qp <> 'unknown' AND ep <> 'unknown' AND qp <> ep UNION ALL SELECT 'code_boost', count(*) FROM s WHERE same_code) WHERE n > 0"
+)
+def retrieval_steps(spark, sf_dir):
+    """Candidates at the steps before the selection."""
+    cfg = retrieval.RetrievalConfig(**FLOOR)
+    vectors = _vectors(spark, sf_dir)
+    queries = _queries(vectors)
+    found = retrieval.nearest(queries, vectors, cfg.pool, "split")
+    rescored = retrieval.rescored(found, queries, vectors, cfg)
+    none = rescored.select("query_id", "evidence_id").withColumn("rank", F.lit(0)).limit(0)
+    steps = reports.retrieval_steps(found, rescored, none, cfg)
+    return steps.where("label not in ('left_out', 'selected', 'first')")
 
 
 @query(
@@ -387,11 +430,17 @@ def selected_vectors(spark, sf_dir):
     "SELECT id, source_index, count(*) FILTER (v <> 0) AS filled, round(sqrt(sum(v * v)::DOUBLE), 6) AS norm FROM s GROUP BY ALL"
 )
 def hashed_embeddings(spark, sf_dir):
-    """Signed hashing of words, ideographs and runs of three: filled slots and norm of each vector."""
+    """Signed hashing of words, ideographs and runs of three: filled slots and norm of each vector, row by row."""
     rows = table(spark, sf_dir, "d3_fault_texts").select(F.col("evidence_source_id").alias("id"), "source_index", X.key(F.col("text"), False).alias("t")).distinct()
-    slots = rows.select("id", "source_index", F.explode(A.hashed_tokens(F.col("t"))).alias("k")).select("id", "source_index", A.token_slot(F.col("k"), 512).alias("s"))
-    sums = slots.groupBy("id", "source_index", "s.slot").agg(F.sum("s.sign").alias("v"))
-    return sums.groupBy("id", "source_index").agg(F.count_if(F.col("v") != 0).alias("filled"), F.round(F.sqrt(F.sum(F.col("v") * F.col("v")).cast("double")), 6).alias("norm"))
+
+    @F.pandas_udf("struct<filled: long, norm: double>")
+    def measure(t: pd.Series) -> pd.DataFrame:
+        counts = [embedding.hashed_counts(t.iloc[i : i + 256].tolist(), 512) for i in range(0, len(t), 256)]
+        counts = np.concatenate(counts) if counts else np.zeros((0, 512))
+        return pd.DataFrame({"filled": (counts != 0).sum(axis=1), "norm": np.sqrt((counts**2).sum(axis=1)).round(6)})
+
+    some = (F.length("t") >= 3) | F.col("t").rlike("[a-z0-9一-鿿]")  # texts without any token have no vector
+    return rows.where(some).withColumn("m", measure("t")).select("id", "source_index", "m.*")
 
 
 # --- samples, checks, export --------------------------------------------------------------------------------
@@ -514,6 +563,43 @@ def reference_flag_counts(spark, sf_dir):
     return relations.counts(rows.select(flags.alias("flags")), "flags")
 
 
+def _sql_flags(*pairs: tuple[str, str]) -> str:
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in pairs) + "], lambda x: x IS NOT NULL), ',')"
+
+
+def _sql_says(c: str, p: str) -> str:
+    return f"regexp_matches({c}, {quoted('(?i)' + p)})"
+
+
+_OWN = sql_inline(f"regexp_replace(a, {quoted('(?i)(?:https?://|www[.])[^' + BLANK[1:-1] + ']+')}, ' ', 'g')")
+_BOTH = sql_inline(f"regexp_replace(q || ' ' || a, {quoted('(?i)' + V.IMAGE_IDIOM)}, ' ', 'g')")
+
+
+@query(
+    f"WITH t AS (SELECT evidence_source_id, source_index, {sql_inline('question')} AS q, {sql_document('answer')} AS a FROM d2_qa), u AS (SELECT *, {_OWN} AS own FROM t), "
+    f"v AS (SELECT *, length(own) >= 180 OR (length(own) >= 90 AND {_sql_says('own', V.SUBSTANTIVE)}) AS stands, {_sql_says('a', '(?:https?://|www[.])[^' + BLANK[1:-1] + ']+')} AS link, len(regexp_extract_all(own, {quoted('(?i)' + V.ACTIONS_TOLD)})) AS told FROM u) "
+    "SELECT evidence_source_id, source_index, "
+    + _sql_flags(
+        ("has_comment_reference", _sql_says("a", V.COMMENT)),
+        ("has_external_link", "link"),
+        ("has_image_reference", _sql_says(_BOTH, V.IMAGE)),
+        ("has_other_answer_reference", _sql_says("a", V.OTHER_ANSWER)),
+        ("needs_comment", f"{_sql_says('a', V.COMMENT)} AND {_sql_says('a', V.COMMENT_NEEDED)} AND NOT stands"),
+        ("needs_external_link", f"link AND (length(own) < 60 OR {_sql_says('a', V.LINK_FULFILS)} OR ({_sql_says('a', V.LINK_DIRECTS)} AND NOT stands AND length(own) < 300 AND told < 2))"),
+        (
+            "needs_image",
+            f"{_sql_says(_BOTH, V.IMAGE)} AND ({_sql_says('q', V.IMAGE_ASKED_ATTACHED)} OR ({_sql_says('q', V.IMAGE)} AND ({_sql_says('q', V.IMAGE_ASKED_BROAD)} OR {_sql_says('q', V.IMAGE_ASKED)})) OR {_sql_says('a', V.IMAGE_STRONG)} OR (({_sql_says('a', V.IMAGE_POINTED)} OR {_sql_says('a', V.IMAGE_SHOWS)}) AND NOT stands))",
+        ),
+        ("needs_other_answer", f"{_sql_says('a', V.OTHER_ANSWER)} AND {_sql_says('a', V.OTHER_ANSWER_NEEDED)} AND NOT stands"),
+    )
+    + " AS flags FROM v"
+)
+def reference_flags(spark, sf_dir):
+    """What each answer leans on."""
+    rows = table(spark, sf_dir, "d2_qa").select("evidence_source_id", "source_index", X.document(F.col("answer"), False).alias("a"), X.inline(F.col("question"), False).alias("q"))
+    return rows.select("evidence_source_id", "source_index", F.array_join(dependence.reference_flags(F.col("a"), F.col("q")), ",").alias("flags"))
+
+
 @query()
 def document_kinds(spark, sf_dir):
     rows = table(spark, sf_dir, "d4_documents").select("document_id", X.inline(F.col("title")).alias("t"), X.document(F.col("text")).alias("b"))
@@ -568,10 +654,6 @@ def _sql_split(c: str, train: int, validation: int) -> str:
     return f"CASE WHEN {sql_bucket(c)} < {train} THEN 'train' WHEN {sql_bucket(c)} < {train + validation} THEN 'validation' ELSE 'test' END"
 
 
-def _sql_flags(*pairs: tuple[str, str]) -> str:
-    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in pairs) + "], lambda x: x IS NOT NULL), ',')"
-
-
 @query(
     f"WITH n AS (SELECT source_index, {sql_inline('instruction')} AS i, {sql_inline('query')} AS q, {sql_document('base_answer')} AS a FROM d1_queries), t AS (SELECT *, lower(trim(i || ' ' || q)) AS k, lower(i || ' ' || q) AS t FROM n), "
     f"d AS (SELECT *, {_sql_domain('t', 'uncertain')} AS domain_status, q = '' OR a = '' AS empty, {_sql_scores()} FROM t), "
