@@ -127,6 +127,14 @@ class Automaton:
             left, sign, state = left[deep], sign[deep], state[deep]
         return out
 
+    def found(self, x: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, pattern) for every pattern that a text holds, once and in this order."""
+        places, patterns = self.scan(x, bounds)
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[places] if len(places) else places
+        key = np.sort(text * max(1, self.patterns) + patterns)
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        return np.divmod(key, max(1, self.patterns))
+
     def scan(self, x: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in ``x`` where a passage begins, its pattern) of all texts; no passage runs over the end of a text."""
         if not self.patterns:
