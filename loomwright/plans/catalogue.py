@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -480,12 +482,11 @@ def conversation_round_trip(spark, sf_dir):
 
 @query()
 def evidence_split_counts(spark, sf_dir):
-    """Chunks of the technical documents: normalised, cut, first of equal ones, counted by split and language."""
-    rows = table(spark, sf_dir, "d4_documents").select("document_id", "split", "language", "text")
-    cut = chunking.exploded(rows, "text", 2000, 80)
-    cut = cut.select("document_id", "split", "language", "chunk_index", F.length("chunk").alias("size"), F.sha2(F.lower("chunk"), 256).alias("k"))
-    first = dedup.first_wins(cut, ["k"], ["document_id", "chunk_index"])
-    return first.groupBy("split", "language").agg(F.count("*").alias("chunks"), F.sum("size").cast("long").alias("chars"))
+    """Chunks of all three sources: normalised, cut, first of equal ones, counted by source, split and language."""
+    cut = chunking.exploded(evidence(spark, sf_dir), "text", 2000, 80)
+    cut = cut.select("source_rank", "source", "record_id", "split", "language", "chunk_index", F.length("chunk").alias("size"), F.sha2(F.lower("chunk"), 256).alias("k"))
+    first = dedup.first_wins(cut, ["k"], ["source_rank", "record_id", "chunk_index", "split", "language"])
+    return first.groupBy("source", "split", "language").agg(F.count("*").alias("chunks"), F.sum("size").cast("long").alias("chars"))
 
 
 @query()
@@ -607,21 +608,21 @@ def document_kinds(spark, sf_dir):
     return rows.select("document_id", "s.*", dependence.has_process(F.col("s")).alias("process"), dependence.document_kind(F.col("t"), F.col("b"), F.col("s")).alias("kind")).distinct()
 
 
-RECALL_QUOTE = "诊断仪读出故障码"
+RECALL_QUOTE = "Nm拧紧"
 EXCLUDED = ["d3_excluded_by_hand"]  # the test tables name no exclusions
 
 
 @query(
-    f"WITH t AS (SELECT evidence_source_id AS id, list_contains(flags, 'no_diagnosis_process') AND NOT list_has_any(flags, ['empty', 'off_topic', 'uncertain_domain']) AS wanted, {sql_document('text')} AS text FROM d3_fault_texts), "
+    f"WITH t AS (SELECT evidence_source_id AS id, list_contains(flags, 'short') AND NOT list_has_any(flags, ['empty', 'off_topic', 'uncertain_domain']) AS wanted, {sql_document('text')} AS text FROM d3_fault_texts), "
     "u AS (SELECT id, min(text) AS text FROM t WHERE wanted GROUP BY id), "
     f"v AS (SELECT id, contains({sql_inline('text')}, {quoted(RECALL_QUOTE)}) AS held, id IN ('d3_excluded_by_hand') AS excluded FROM u) "
     "SELECT id, excluded, held AND NOT excluded AS accepted, CASE WHEN held THEN '' ELSE 'unsupported_action_quotes,unsupported_finding_quotes' END AS errors FROM v"
 )
 def recalled_texts(spark, sf_dir):
-    """Fault texts without a process, decided on by an offline model that quotes one phrase; nobody has excluded any."""
+    """Short fault texts, decided on by an offline model that quotes one phrase; nobody has excluded any."""
     rows = table(spark, sf_dir, "d3_fault_texts").drop("semantic_recall")
     answer = {"decision": "recall", "label": "diagnostic_case", "confidence": "high", "unsafe_operation": False, "reason": "offline", "supporting_quotes": [], "action_quotes": [RECALL_QUOTE], "finding_quotes": [RECALL_QUOTE], "verification_quotes": []}
-    decisions, _, _ = recall.second_look(rows, recall.FAULTS, generation.constant_provider(answer), "offline", {"manual_exclusions": {"d3": EXCLUDED}}, compose=False)
+    decisions, _, _ = recall.second_look(rows, replace(recall.FAULTS, wanted=("short",), dropped_flags=("short",)), generation.constant_provider(answer), "offline", {"manual_exclusions": {"d3": EXCLUDED}}, compose=False)
     return decisions.select("id", "excluded", "accepted", F.array_join("errors", ",").alias("errors"))
 
 
