@@ -148,3 +148,13 @@ def test_cross_split_many_shards(spark, rows):
     df = frame(spark, rows)
     one, many = (sorted(map(tuple, cs.overlapping_pairs(*cs.cross_split(df, cfg=c)).collect())) for c in (cs.CrossSplitConfig(), cfg))
     assert one == many and len(one) > 3
+
+
+def test_cross_split_shards(spark, invent):
+    """Copies make no more shards, and a text only meets shards of sizes it can be similar to."""
+    rows = [(f"t{k}", invent(k, 80 + 60 * k), "test", None) for k in range(12)]
+    cfg = cs.CrossSplitConfig(shard_passages=100)
+    plans = [cs.shard_plan(cs.evaluation_rows(frame(spark, r), "document_id", "text", "split", "extracted_at", cfg), cfg) for r in (rows, rows + [(f"{i}{k}", t, s, o) for k in range(5) for i, t, s, o in rows])]
+    assert plans[0] == plans[1] and len(plans[0].ranges) > 3
+    assert all(b[0] == a[1] + 1 and b[3] == a[3] + a[2] for a, b in zip(plans[0].ranges, plans[0].ranges[1:]))
+    assert plans[0].sizes()[0][1] < 0.6 * max(r[1] for r in plans[0].ranges)
