@@ -140,3 +140,17 @@ def test_cosine(spark):
     a, b = rng.normal(size=8), rng.normal(size=8)
     df = spark.createDataFrame([(a.tolist(), b.tolist())], "a array<float>, b array<float>")
     assert df.select(A.cosine(F.col("a"), F.col("b"))).first()[0] == pytest.approx(float(np.float32(a) @ np.float32(b)), abs=1e-5)
+
+
+def test_expressions_in_loops_once(spark):
+    """What a loop over literals, labels' parts or an answer's literals reads is worked out once, not for each element."""
+    df = spark.createDataFrame([("P0300 P0301 p0300 brake brake clutch 12 V", ["P0301"])], "v string, w array<string>").withColumn("v", F.lower(F.regexp_replace("v", "~+", "~")))
+    for made, want, most in (
+        (A.literals(F.col("v")), ["p0300", "p0301", "12 v"], 8),
+        (A.unsupported(F.col("v"), F.col("w")), ["p0300", "12 v"], 16),
+        (R.score_array(F.col("v"), {"a": ["brake", "abs"], "b": ["clutch"]}), [2, 1], 0),
+    ):
+        out = df.select(made.alias("o"))
+        assert out.first()["o"] == want
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract_all(") == most
